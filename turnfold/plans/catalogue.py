@@ -194,3 +194,130 @@ def q_status_nullif(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     return o.select("o_orderkey", TL.status_value(F.col("o_orderpriority"), "5-LOW")
                     .alias("status"))
+
+
+# --- D: feature flattening -------------------------------------------------
+
+from ..operators import features as FT  # noqa: E402
+
+
+def orders_t(spark, sf_dir):
+    return table(spark, sf_dir, "orders")
+
+
+def _safe(v: str) -> str:
+    return "".join(ch if ch.isalnum() else "_" for ch in v)
+
+
+@register("roster_slots_padded")
+def q_roster_slots(spark, sf_dir):
+    ranked = FT.ranked_roster(roster(spark, sf_dir), "l_orderkey", LINE_ORDER)
+    slots = orders_t(spark, sf_dir).select(
+        "o_orderkey", F.explode(F.sequence(F.lit(1), F.lit(6))).alias("slot"))
+    r = ranked.select(F.col("l_orderkey").alias("o_orderkey"), "slot",
+                      (F.lit(1.0) - F.col("l_discount")).alias("hp"), *FT.STAT_COLS)
+    j = slots.join(r, ["o_orderkey", "slot"], "left")
+    return j.select("o_orderkey", F.col("slot").cast("int").alias("slot"),
+                    F.col("hp").isNotNull().cast("int").alias("present"),
+                    *[_r(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(c)
+                      for c in ["hp"] + FT.STAT_COLS])
+
+
+@register("roster_stat_boost_block")
+def q_adversary_block(spark, sf_dir):
+    adv = FT.relational_adversary(orders_t(spark, sf_dir), roster(spark, sf_dir),
+                                  "l_orderkey", LINE_ORDER)
+    return adv.select("o_orderkey",
+                      _r(F.col("adv")[0]).alias("adv_alive"),
+                      _r(F.col("adv")[1]).alias("adv_discovered_alive"),
+                      _r(F.col("adv")[2]).alias("adv_leader"),
+                      F.lit(0.0).alias("boost_total"))
+
+
+@register("one_hot_status")
+def q_one_hot_status(spark, sf_dir):
+    from ..functions.onehot import one_hot
+    o = orders_t(spark, sf_dir)
+    cols = one_hot(F.col("o_orderpriority"), FT.PRIORITY_VOCAB)
+    return o.select("o_orderkey", *[c.alias("status_" + _safe(v))
+                                    for c, v in zip(cols, FT.PRIORITY_VOCAB)])
+
+
+@register("multi_hot_effects")
+def q_multi_hot(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    return ev.groupBy("user_id").agg(*[
+        F.max((F.col("event_type") == v).cast("double")).alias("effect_" + v)
+        for v in EVENT_ROSTER])
+
+
+@register("dual_type_one_hot")
+def q_dual_type(spark, sf_dir):
+    from ..functions.onehot import one_hot, substring_hot
+    p = table(spark, sf_dir, "part")
+    t1 = substring_hot(F.col("p_type"), FT.PART_TYPE_VOCAB)
+    t2 = substring_hot(F.col("p_brand"), FT.BRAND_VOCAB)
+    exact = one_hot(F.col("p_brand"), FT.BRAND_VOCAB)
+    return p.select("p_partkey",
+                    *[c.alias("type1_" + _safe(v)) for c, v in zip(t1, FT.PART_TYPE_VOCAB)],
+                    *[c.alias("type2_" + _safe(v)) for c, v in zip(t2, FT.BRAND_VOCAB)],
+                    sum(exact, F.lit(0.0)).alias("type2_exact_hits"))
+
+
+@register("adversary_presence")
+def q_adversary_presence(spark, sf_dir):
+    ev = events(spark, sf_dir).where(event_move().isNotNull())
+    return ev.groupBy("user_id").agg(
+        *[F.lit(0.0).alias("adv_type_obs_" + v) for v in EVENT_ROSTER],
+        *[F.max((F.col("event_type") == v).cast("double")).alias("adv_type_" + v)
+          for v in EVENT_ROSTER])
+
+
+@register("feature_vector_long")
+def q_feature_long(spark, sf_dir):
+    out = FT.sparse_feature_long(orders_t(spark, sf_dir), roster(spark, sf_dir),
+                                 "l_orderkey", LINE_ORDER)
+    return out.select("o_orderkey", "position", _r("value").alias("value"))
+
+
+# --- K: team summaries ------------------------------------------------------
+
+@register("team_means")
+def q_team_means(spark, sf_dir):
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "p_size"]
+    out = FT.team_means(roster(spark, sf_dir), "l_orderkey", cols)
+    return out.select("l_orderkey", *[_r("mean_" + c).alias("mean_" + c) for c in cols])
+
+
+@register("type_coverage")
+def q_type_coverage(spark, sf_dir):
+    return FT.type_coverage(roster(spark, sf_dir), "l_orderkey", ["p_type", "p_brand"])
+
+
+@register("mean_power")
+def q_mean_power(spark, sf_dir):
+    mv = events(spark, sf_dir).select("user_id", event_move().alias("power")) \
+        .where(F.col("power").isNotNull())
+    out = FT.mean_power(mv, "user_id", "power")
+    return out.select("user_id", _r("mean_power").alias("mean_power"))
+
+
+@register("status_member_count")
+def q_status_members(spark, sf_dir):
+    return FT.status_member_count(roster(spark, sf_dir), "l_orderkey", "p_name",
+                                  F.col("l_returnflag") == "R")
+
+
+@register("team_difference")
+def q_team_difference(spark, sf_dir):
+    r = roster(spark, sf_dir)
+    cols = ["l_quantity", "l_extendedprice"]
+    a = FT.team_means(r.where(F.col("l_linestatus") == "O"), "l_orderkey", cols)
+    b = FT.team_means(r.where(F.col("l_linestatus") == "F"), "l_orderkey", cols)
+    out = FT.team_difference(a, b, "l_orderkey", ["mean_" + c for c in cols])
+    return out.select("l_orderkey", *[_r("diff_mean_" + c).alias("diff_" + c) for c in cols])
+
+
+@register("extreme_member")
+def q_extreme_member(spark, sf_dir):
+    return FT.extreme_member(roster(spark, sf_dir), "l_orderkey", "p_name", "p_size", LINE_ORDER)

@@ -137,3 +137,118 @@ FROM orders
 ORACLE["status_nullif"] = """
 SELECT o_orderkey, NULLIF(o_orderpriority, '5-LOW') status FROM orders
 """
+
+_RANKED = f"""
+ranked AS (SELECT l.*, p.*, ROW_NUMBER() OVER (PARTITION BY l.l_orderkey ORDER BY {_LINE_ORDER}) slot
+           FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)"""
+
+ORACLE["roster_slots_padded"] = f"""
+WITH {_RANKED},
+slots AS (SELECT o_orderkey, s.slot FROM orders CROSS JOIN (VALUES (1),(2),(3),(4),(5),(6)) s(slot))
+SELECT s.o_orderkey, CAST(s.slot AS INTEGER) slot,
+       CAST(CASE WHEN r.l_orderkey IS NULL THEN 0 ELSE 1 END AS INTEGER) present,
+       ROUND(COALESCE(1.0 - r.l_discount, 0.0), 6) hp,
+       ROUND(COALESCE(r.l_quantity, 0.0), 6) l_quantity,
+       ROUND(COALESCE(r.l_extendedprice, 0.0), 6) l_extendedprice,
+       ROUND(COALESCE(r.l_tax, 0.0), 6) l_tax,
+       ROUND(COALESCE(CAST(r.p_size AS DOUBLE), 0.0), 6) p_size,
+       ROUND(COALESCE(r.p_retailprice, 0.0), 6) p_retailprice,
+       ROUND(COALESCE(r.l_discount, 0.0), 6) l_discount
+FROM slots s LEFT JOIN ranked r ON r.l_orderkey = s.o_orderkey AND r.slot = s.slot
+"""
+
+_ADV = f"""
+per AS (SELECT l_orderkey, COUNT(*) n, COUNT(*) FILTER (WHERE l_returnflag = 'R') r,
+               arg_max(l_discount, slot) lead
+        FROM (SELECT l.*, ROW_NUMBER() OVER (PARTITION BY l.l_orderkey ORDER BY {_LINE_ORDER}) slot
+              FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey) GROUP BY l_orderkey),
+adv AS (SELECT o.o_orderkey, o.o_orderpriority,
+               CAST(6 - COALESCE(per.n, 0) AS DOUBLE) a0,
+               CAST(1 + COALESCE(per.n, 0) - COALESCE(per.r, 0) AS DOUBLE) a1,
+               COALESCE(per.lead, 0.0) a2
+        FROM orders o LEFT JOIN per ON per.l_orderkey = o.o_orderkey)"""
+
+ORACLE["roster_stat_boost_block"] = f"""
+WITH {_ADV}
+SELECT o_orderkey, ROUND(a0, 6) adv_alive, ROUND(a1, 6) adv_discovered_alive,
+       ROUND(a2, 6) adv_leader, 0.0 boost_total FROM adv
+"""
+
+_PRIO = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def _safe(v):
+    return "".join(ch if ch.isalnum() else "_" for ch in v)
+
+
+ORACLE["one_hot_status"] = "SELECT o_orderkey, " + ", ".join(
+    f"CASE WHEN o_orderpriority = '{v}' THEN 1.0 ELSE 0.0 END status_{_safe(v)}" for v in _PRIO
+) + " FROM orders"
+
+_EV = ["click", "view", "purchase", "signup", "error"]
+ORACLE["multi_hot_effects"] = "SELECT user_id, " + ", ".join(
+    f"MAX(CASE WHEN event_type = '{v}' THEN 1.0 ELSE 0.0 END) effect_{v}" for v in _EV
+) + " FROM events GROUP BY user_id"
+
+_PT = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+_BR = [f"Brand#{i}" for i in range(1, 10)]
+ORACLE["dual_type_one_hot"] = "SELECT p_partkey, " + ", ".join(
+    [f"CASE WHEN contains(p_type, '{v}') THEN 1.0 ELSE 0.0 END type1_{_safe(v)}" for v in _PT]
+    + [f"CASE WHEN contains(p_brand, '{v}') THEN 1.0 ELSE 0.0 END type2_{_safe(v)}" for v in _BR]
+    + ["(" + " + ".join(f"CASE WHEN p_brand = '{v}' THEN 1.0 ELSE 0.0 END" for v in _BR)
+       + ") type2_exact_hits"]
+) + " FROM part"
+
+ORACLE["adversary_presence"] = "SELECT user_id, " + ", ".join(
+    [f"0.0 adv_type_obs_{v}" for v in _EV]
+    + [f"MAX(CASE WHEN event_type = '{v}' THEN 1.0 ELSE 0.0 END) adv_type_{v}" for v in _EV]
+) + f" FROM events WHERE ({_MOVE}) IS NOT NULL GROUP BY user_id"
+
+_MEMBER_ARR = ("[1.0 - l_discount, l_quantity, l_extendedprice, l_tax, CAST(p_size AS DOUBLE), "
+               "p_retailprice, l_discount, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, "
+               + ", ".join(f"CASE WHEN l_linestatus = '{v}' THEN 1.0 ELSE 0.0 END" for v in ["O", "F"]) + ", "
+               + ", ".join(f"CASE WHEN l_returnflag = '{v}' THEN 1.0 ELSE 0.0 END" for v in ["A", "N", "R"]) + ", "
+               + ", ".join(f"CASE WHEN contains(p_type, '{v}') THEN 1.0 ELSE 0.0 END" for v in _PT) + ", "
+               + ", ".join(f"CASE WHEN contains(p_brand, '{v}') THEN 1.0 ELSE 0.0 END" for v in _BR)
+               + "]")
+ORACLE["feature_vector_long"] = f"""
+WITH {_RANKED}, {_ADV[1:]},
+mem AS (SELECT l_orderkey o_orderkey, slot, UNNEST({_MEMBER_ARR}) v, UNNEST(generate_series(0, 32)) pos
+        FROM ranked WHERE slot <= 6),
+advl AS (SELECT o_orderkey, UNNEST([a0, a1, a2, {", ".join(f"CASE WHEN o_orderpriority = '{v}' THEN 1.0 ELSE 0.0 END" for v in _PRIO)}]) v,
+                UNNEST(generate_series(0, 7)) pos FROM adv)
+SELECT o_orderkey, CAST((slot - 1) * 33 + pos AS INTEGER) position, ROUND(v, 6) value FROM mem WHERE v <> 0
+UNION ALL
+SELECT o_orderkey, CAST(198 + pos AS INTEGER) position, ROUND(v, 6) value FROM advl WHERE v <> 0
+"""
+
+_ROSTER_J = "lineitem l JOIN part p ON l.l_partkey = p.p_partkey"
+ORACLE["team_means"] = f"""
+SELECT l_orderkey, ROUND(AVG(l_quantity), 6) mean_l_quantity, ROUND(AVG(l_extendedprice), 6) mean_l_extendedprice,
+       ROUND(AVG(l_discount), 6) mean_l_discount, ROUND(AVG(p_size), 6) mean_p_size
+FROM {_ROSTER_J} GROUP BY l_orderkey
+"""
+ORACLE["type_coverage"] = f"""
+SELECT l_orderkey, CAST(COUNT(DISTINCT t) AS BIGINT) type_coverage
+FROM (SELECT l_orderkey, p_type t FROM {_ROSTER_J} UNION ALL SELECT l_orderkey, p_brand t FROM {_ROSTER_J})
+GROUP BY l_orderkey
+"""
+ORACLE["mean_power"] = f"""
+SELECT user_id, ROUND(AVG(power), 6) mean_power
+FROM (SELECT user_id, {_MOVE} power FROM events) WHERE power IS NOT NULL GROUP BY user_id
+"""
+ORACLE["status_member_count"] = f"""
+SELECT l_orderkey, CAST(COUNT(DISTINCT CASE WHEN l_returnflag = 'R' THEN p_name END) AS BIGINT) status_members
+FROM {_ROSTER_J} GROUP BY l_orderkey
+"""
+ORACLE["team_difference"] = f"""
+WITH a AS (SELECT l_orderkey, AVG(l_quantity) q, AVG(l_extendedprice) e FROM {_ROSTER_J} WHERE l_linestatus = 'O' GROUP BY 1),
+b AS (SELECT l_orderkey, AVG(l_quantity) q, AVG(l_extendedprice) e FROM {_ROSTER_J} WHERE l_linestatus = 'F' GROUP BY 1)
+SELECT a.l_orderkey, ROUND(a.q - b.q, 6) diff_l_quantity, ROUND(a.e - b.e, 6) diff_l_extendedprice
+FROM a JOIN b ON a.l_orderkey = b.l_orderkey
+"""
+ORACLE["extreme_member"] = f"""
+SELECT l_orderkey, MAX(p_size) max_p_size,
+       arg_min(p_name, (-p_size, {_LINE_ORDER})) top_member
+FROM {_ROSTER_J} GROUP BY l_orderkey
+"""
