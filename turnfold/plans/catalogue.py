@@ -321,3 +321,116 @@ def q_team_difference(spark, sf_dir):
 @register("extreme_member")
 def q_extreme_member(spark, sf_dir):
     return FT.extreme_member(roster(spark, sf_dir), "l_orderkey", "p_name", "p_size", LINE_ORDER)
+
+
+# --- E: counts, weights, encodings -----------------------------------------
+
+from ..operators import weights as WT  # noqa: E402
+
+CONTENT_FIELDS = ["p_brand", "p_type"]
+
+
+def part_counts(spark, sf_dir) -> DataFrame:
+    return WT.content_count(table(spark, sf_dir, "part"), CONTENT_FIELDS, position="p_partkey")
+
+
+@register("content_count")
+def q_content_count(spark, sf_dir):
+    return part_counts(spark, sf_dir).select("key", "count")
+
+
+@register("first_seen_record")
+def q_first_seen(spark, sf_dir):
+    return WT.first_seen(table(spark, sf_dir, "part"), CONTENT_FIELDS, "p_partkey",
+                         ["p_name", "p_size", "p_retailprice"])
+
+
+@register("attribute_table")
+def q_attribute_table(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select(
+        "p_brand", "p_type", "p_partkey", F.col("p_size").alias("base_size"),
+        F.col("p_retailprice").alias("retailprice"), F.array("p_type").alias("types"))
+    first = WT.first_seen(p, CONTENT_FIELDS, "p_partkey", ["base_size", "retailprice", "types"])
+    return WT.attribute_table(first, ["size", "retailprice", "type_SMALL", "type_PROMO", "colour"],
+                              types_col="types")
+
+
+@register("class_frequency")
+def q_class_frequency(spark, sf_dir):
+    counts = WT.content_count(table(spark, sf_dir, "part"), ["p_brand"])
+    out = WT.normalise_counts(counts, "inverse_frequency")
+    return out.select("key", "count", _r("freq").alias("freq"))
+
+
+@register("class_counts")
+def q_class_counts(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    labels = WT.class_counts(o, F.col("o_orderstatus") == "F")
+    r = roster(spark, sf_dir).agg(F.count(F.lit(1)).cast("long").alias("members"),
+                                  F.count_distinct("l_orderkey").cast("long").alias("matches"))
+    return labels.join(r)   # two one-row aggregates side by side
+
+
+def _weights_query(method):
+    def q(spark, sf_dir):
+        out = WT.normalise_counts(part_counts(spark, sf_dir), method)
+        return out.select("key", "count", _r("weight").alias("weight"), _r("freq").alias("freq"))
+    return q
+
+
+for _m, _name in [("inverse_frequency", "weights_inverse"), ("sqrt_inverse", "weights_sqrt"),
+                  ("log_inverse", "weights_log"), ("min_max", "weights_minmax"),
+                  ("z_score", "weights_zscore")]:
+    register(_name)(_weights_query(_m))
+
+
+@register("attach_weights")
+def q_attach_weights(spark, sf_dir):
+    w = WT.normalise_counts(part_counts(spark, sf_dir), "sqrt_inverse")
+    members = roster(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", *CONTENT_FIELDS)
+    out = WT.attach_weights(members, w, CONTENT_FIELDS)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey",
+                      _r("sample_weight").alias("sample_weight"))
+
+
+@register("weight_method_comparison")
+def q_weight_comparison(spark, sf_dir):
+    out = WT.method_comparison(part_counts(spark, sf_dir))
+    return out.select("method", "most_key", "least_key", _r("most_weight").alias("most_weight"),
+                      _r("least_weight").alias("least_weight"), _r("ratio").alias("ratio"))
+
+
+def encoding_rows(spark, sf_dir) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
+                                               "o_orderstatus")
+    return roster(spark, sf_dir).join(o, "l_orderkey")
+
+
+def modular_fold(k: int = 5) -> Column:
+    """Fold from an integer key, so SQL can state it too."""
+    return F.pmod(F.col("l_orderkey") * 31 + F.col("l_linenumber"), F.lit(k)).cast("int")
+
+
+def target_codes(spark, sf_dir) -> DataFrame:
+    return WT.kfold_target_encoding(encoding_rows(spark, sf_dir), "p_name",
+                                    F.col("o_orderstatus") == "F", modular_fold())
+
+
+@register("kfold_target_encoding")
+def q_kfold(spark, sf_dir):
+    return target_codes(spark, sf_dir).select("name", _r("encoding").alias("encoding"), "n")
+
+
+@register("member_code_mean")
+def q_member_code_mean(spark, sf_dir):
+    codes = target_codes(spark, sf_dir).select(F.col("name").alias("p_name"), "encoding")
+    out = FT.member_code_mean(roster(spark, sf_dir), codes, "l_orderkey", "p_name")
+    return out.select("l_orderkey", _r("member_code_mean").alias("member_code_mean"))
+
+
+@register("distinct_field_values")
+def q_distinct_fields(spark, sf_dir):
+    ev = events(spark, sf_dir).select(
+        F.struct(F.col("event_type").alias("kind"), F.col("value").alias("hp")).alias("p1_state"),
+        F.from_json("props", "k bigint").alias("p2_state"))
+    return WT.distinct_field_values(ev, ["p1_state", "p2_state"], "k")

@@ -252,3 +252,100 @@ SELECT l_orderkey, MAX(p_size) max_p_size,
        arg_min(p_name, (-p_size, {_LINE_ORDER})) top_member
 FROM {_ROSTER_J} GROUP BY l_orderkey
 """
+
+_PC = "SELECT p_brand || p_type AS key, CAST(COUNT(*) AS BIGINT) count, MIN(p_partkey) first_pos FROM part GROUP BY 1"
+
+ORACLE["content_count"] = "SELECT p_brand || p_type AS key, CAST(COUNT(*) AS BIGINT) count FROM part GROUP BY 1"
+
+ORACLE["first_seen_record"] = """
+SELECT p_brand || p_type AS key, CAST(COUNT(*) AS BIGINT) count, MIN(p_partkey) first_pos,
+       arg_min(p_name, p_partkey) p_name, arg_min(p_size, p_partkey) p_size,
+       arg_min(p_retailprice, p_partkey) p_retailprice
+FROM part GROUP BY 1
+"""
+
+ORACLE["attribute_table"] = """
+SELECT p_brand || p_type AS key, CAST(COUNT(*) AS BIGINT) count,
+       CAST(CAST(arg_min(p_retailprice, p_partkey) AS VARCHAR) AS VARCHAR) retailprice,
+       CAST(arg_min(p_size, p_partkey) AS VARCHAR) size,
+       CAST(NULL AS VARCHAR) colour,
+       CAST(arg_min(p_type, p_partkey) = 'PROMO' AS INTEGER) type_PROMO,
+       CAST(arg_min(p_type, p_partkey) = 'SMALL' AS INTEGER) type_SMALL
+FROM part GROUP BY 1
+"""
+
+ORACLE["class_frequency"] = """
+SELECT p_brand AS key, CAST(COUNT(*) AS BIGINT) count,
+       ROUND(COUNT(*) / SUM(COUNT(*)) OVER (), 6) freq
+FROM part GROUP BY 1
+"""
+
+ORACLE["class_counts"] = """
+SELECT (SELECT CAST(COUNT(*) AS BIGINT) FROM orders) total,
+       (SELECT CAST(COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS BIGINT) FROM orders) wins,
+       (SELECT CAST(COUNT(*) FILTER (WHERE o_orderstatus <> 'F') AS BIGINT) FROM orders) losses,
+       (SELECT CAST(COUNT(*) AS BIGINT) FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey) members,
+       (SELECT CAST(COUNT(DISTINCT l_orderkey) AS BIGINT) FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey) matches
+"""
+
+_W = {
+    "weights_inverse": "(1.0 / count) / SUM(1.0 / count) OVER () * COUNT(*) OVER ()",
+    "weights_sqrt": "(1.0 / SQRT(count)) / SUM(1.0 / SQRT(count)) OVER () * COUNT(*) OVER ()",
+    "weights_log": "(1.0 / LN(count + 1.0)) / SUM(1.0 / LN(count + 1.0)) OVER () * COUNT(*) OVER ()",
+    "weights_minmax": "CASE WHEN MAX(count) OVER () = MIN(count) OVER () THEN 1.0 ELSE "
+                      "(count - MIN(count) OVER ()) / (MAX(count) OVER () - MIN(count) OVER ()) END",
+    "weights_zscore": "CASE WHEN STDDEV_POP(count) OVER () = 0 THEN 0.0 ELSE "
+                      "(count - AVG(count) OVER ()) / STDDEV_POP(count) OVER () END",
+}
+for _k, _e in _W.items():
+    ORACLE[_k] = f"""
+SELECT key, count, ROUND({_e}, 6) weight, ROUND(count / SUM(count) OVER (), 6) freq FROM ({_PC})
+"""
+
+ORACLE["attach_weights"] = f"""
+WITH w AS (SELECT key, (1.0 / SQRT(count)) / SUM(1.0 / SQRT(count)) OVER () * COUNT(*) OVER () weight FROM ({_PC}))
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, ROUND(COALESCE(w.weight, 1.0), 6) sample_weight
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+LEFT JOIN w ON w.key = p.p_brand || p.p_type
+"""
+
+_CMP = """
+SELECT '{m}' AS method,
+       arg_max(key, (count, -first_pos)) most_key, arg_min(key, (count, -first_pos)) least_key,
+       ROUND(arg_max(w, (count, -first_pos)), 6) most_weight,
+       ROUND(arg_min(w, (count, -first_pos)), 6) least_weight,
+       ROUND(CASE WHEN arg_max(w, (count, -first_pos)) > 0
+                  THEN arg_min(w, (count, -first_pos)) / arg_max(w, (count, -first_pos)) ELSE 0.0 END, 6) ratio
+FROM (SELECT *, {e} w FROM ({pc}))
+"""
+ORACLE["weight_method_comparison"] = " UNION ALL ".join(
+    _CMP.format(m=m, e=_W[q], pc=_PC) for m, q in
+    [("inverse_frequency", "weights_inverse"), ("sqrt_inverse", "weights_sqrt"),
+     ("log_inverse", "weights_log")])
+
+_ENC = """
+rows AS (SELECT p.p_name AS name, CASE WHEN o.o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END y,
+                (l.l_orderkey * 31 + l.l_linenumber) % 5 fold
+         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+         JOIN orders o ON o.o_orderkey = l.l_orderkey
+         WHERE p.p_name IS NOT NULL AND LENGTH(p.p_name) >= 1),
+gm AS (SELECT AVG(y) g FROM rows),
+per AS (SELECT name, fold, SUM(y) s, COUNT(*) n FROM rows GROUP BY 1, 2),
+tot AS (SELECT name, SUM(s) S, SUM(n) N FROM per GROUP BY 1),
+codes AS (SELECT per.name, AVG(CASE WHEN tot.N > per.n THEN (tot.S - per.s) / (tot.N - per.n) ELSE gm.g END) encoding,
+                 CAST(MAX(tot.N) AS BIGINT) n
+          FROM per JOIN tot ON per.name = tot.name CROSS JOIN gm GROUP BY per.name)"""
+
+ORACLE["kfold_target_encoding"] = f"WITH {_ENC} SELECT name, ROUND(encoding, 6) encoding, n FROM codes"
+
+ORACLE["member_code_mean"] = f"""
+WITH {_ENC}
+SELECT l.l_orderkey, ROUND(AVG(c.encoding), 6) member_code_mean
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN codes c ON c.name = p.p_name
+GROUP BY l.l_orderkey
+"""
+
+ORACLE["distinct_field_values"] = """
+SELECT DISTINCT json_extract_string(props, '$.k') AS value FROM events
+WHERE json_extract_string(props, '$.k') IS NOT NULL
+"""
