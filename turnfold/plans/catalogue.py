@@ -434,3 +434,82 @@ def q_distinct_fields(spark, sf_dir):
         F.struct(F.col("event_type").alias("kind"), F.col("value").alias("hp")).alias("p1_state"),
         F.from_json("props", "k bigint").alias("p2_state"))
     return WT.distinct_field_values(ev, ["p1_state", "p2_state"], "k")
+
+
+# --- H8 / I / J: thresholds, evaluation tables, run diff --------------------
+
+from ..operators import evaluate as EV  # noqa: E402
+
+
+def scored_docs(spark, sf_dir) -> DataFrame:
+    """``doc_id, y, p``: quality label and a score with exact decimal steps."""
+    lab = table(spark, sf_dir, "labels")
+    doc = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return lab.join(doc, "doc_id").select(
+        "doc_id", F.col("quality").cast("int").alias("y"),
+        (F.pmod(F.col("n_chars"), F.lit(SCORE_MODULUS)) / F.lit(float(SCORE_MODULUS))).alias("p"))
+
+
+@register("threshold_predictions")
+def q_threshold_predictions(spark, sf_dir):
+    s = scored_docs(spark, sf_dir)
+    return s.select("doc_id", _r("p").alias("p"), EV.predict_at(F.col("p"), 0.485).alias("yhat"))
+
+
+@register("accuracy")
+def q_accuracy(spark, sf_dir):
+    s = scored_docs(spark, sf_dir).withColumn("yhat", EV.predict_at(F.col("p"), 0.485))
+    out = EV.accuracy(s, "y", "yhat")
+    return out.select(_r("accuracy").alias("accuracy"), _r("positive_rate").alias("positive_rate"), "n")
+
+
+@register("confusion_matrix")
+def q_confusion(spark, sf_dir):
+    s = scored_docs(spark, sf_dir).withColumn("yhat", EV.predict_at(F.col("p"), 0.485))
+    out = EV.confusion_matrix(s, "y", "yhat")
+    return out.select("y", "yhat", "n", _r("row_pct").alias("row_pct"))
+
+
+@register("roc_points")
+def q_roc_points(spark, sf_dir):
+    out = EV.roc_points(scored_docs(spark, sf_dir), "y", "p")
+    return out.select(_r("threshold").alias("threshold"), _r("fpr").alias("fpr"), _r("tpr").alias("tpr"))
+
+
+@register("roc_auc")
+def q_roc_auc(spark, sf_dir):
+    return EV.roc_auc(scored_docs(spark, sf_dir), "y", "p").select(_r("roc_auc").alias("roc_auc"))
+
+
+@register("pr_points")
+def q_pr_points(spark, sf_dir):
+    out = EV.pr_points(scored_docs(spark, sf_dir), "y", "p")
+    return out.select(_r("threshold").alias("threshold"), _r("precision").alias("precision"),
+                      _r("recall").alias("recall"))
+
+
+@register("average_precision")
+def q_average_precision(spark, sf_dir):
+    out = EV.average_precision(scored_docs(spark, sf_dir), "y", "p")
+    return out.select(_r("average_precision").alias("average_precision"))
+
+
+@register("score_histogram")
+def q_histogram(spark, sf_dir):
+    out = EV.score_histogram(scored_docs(spark, sf_dir), "y", "p")
+    return out.select("y", "bin", "count", _r("bin_start").alias("bin_start"),
+                      _r("density").alias("density"))
+
+
+@register("threshold_sweep")
+def q_sweep(spark, sf_dir):
+    out = EV.threshold_sweep(scored_docs(spark, sf_dir), "y", "p")
+    return out.select("i", _r("threshold").alias("threshold"), _r("accuracy").alias("accuracy"),
+                      _r("precision").alias("precision"), _r("recall").alias("recall"),
+                      _r("f1").alias("f1"))
+
+
+@register("best_threshold")
+def q_best_threshold(spark, sf_dir):
+    out = EV.best_threshold(EV.threshold_sweep(scored_docs(spark, sf_dir), "y", "p"))
+    return out.select(_r("threshold").alias("threshold"), _r("accuracy").alias("accuracy"))

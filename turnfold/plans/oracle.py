@@ -349,3 +349,104 @@ ORACLE["distinct_field_values"] = """
 SELECT DISTINCT json_extract_string(props, '$.k') AS value FROM events
 WHERE json_extract_string(props, '$.k') IS NOT NULL
 """
+
+_SD = """s AS (SELECT l.doc_id, CAST(l.quality AS INTEGER) y, (d.n_chars % 1000) / 1000.0 p
+          FROM labels l JOIN documents d ON d.doc_id = l.doc_id)"""
+
+ORACLE["threshold_predictions"] = f"""
+WITH {_SD} SELECT doc_id, ROUND(p, 6) p, CAST(CASE WHEN p >= 0.485 THEN 1 ELSE 0 END AS INTEGER) yhat FROM s
+"""
+
+ORACLE["accuracy"] = f"""
+WITH {_SD}
+SELECT ROUND(AVG(CASE WHEN y = CASE WHEN p >= 0.485 THEN 1 ELSE 0 END THEN 1.0 ELSE 0.0 END), 6) accuracy,
+       ROUND(AVG(CAST(y AS DOUBLE)), 6) positive_rate, CAST(COUNT(*) AS BIGINT) n FROM s
+"""
+
+ORACLE["confusion_matrix"] = f"""
+WITH {_SD},
+c AS (SELECT y, CASE WHEN p >= 0.485 THEN 1 ELSE 0 END yhat, COUNT(*) n FROM s GROUP BY 1, 2),
+g AS (SELECT a.y, b.yhat FROM (VALUES (0),(1)) a(y) CROSS JOIN (VALUES (0),(1)) b(yhat)),
+j AS (SELECT g.y, g.yhat, CAST(COALESCE(c.n, 0) AS BIGINT) n FROM g LEFT JOIN c ON c.y = g.y AND c.yhat = g.yhat)
+SELECT CAST(y AS INTEGER) y, CAST(yhat AS INTEGER) yhat, n,
+       ROUND(CASE WHEN SUM(n) OVER (PARTITION BY y) = 0 THEN NULL
+                  ELSE n * 100.0 / SUM(n) OVER (PARTITION BY y) END, 6) row_pct
+FROM j
+"""
+
+_CUM = f"""{_SD},
+g AS (SELECT p score, SUM(y) pos, SUM(1 - y) neg FROM s GROUP BY 1),
+c AS (SELECT score, pos, neg,
+             SUM(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) tps,
+             SUM(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) fps,
+             ROW_NUMBER() OVER (ORDER BY score DESC) i FROM g),
+t AS (SELECT SUM(pos) P, SUM(neg) N FROM g)"""
+
+ORACLE["roc_points"] = f"""
+WITH {_CUM},
+k AS (SELECT c.*, LAG(tps) OVER w ptp, LEAD(tps) OVER w ntp, LAG(fps) OVER w pfp, LEAD(fps) OVER w nfp
+      FROM c WINDOW w AS (ORDER BY i))
+SELECT ROUND(score, 6) threshold, ROUND(fps / t.N, 6) fpr, ROUND(tps / t.P, 6) tpr
+FROM k CROSS JOIN t
+WHERE ptp IS NULL OR ntp IS NULL OR (pfp - 2 * fps + nfp) <> 0 OR (ptp - 2 * tps + ntp) <> 0
+UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0, 0.0
+"""
+
+ORACLE["roc_auc"] = f"""
+WITH {_CUM}
+SELECT ROUND(SUM(neg * (2 * tps - pos) / 2.0) / (MAX(t.P) * MAX(t.N)), 6) roc_auc FROM c CROSS JOIN t
+"""
+
+ORACLE["pr_points"] = f"""
+WITH {_CUM}
+SELECT ROUND(score, 6) threshold, ROUND(CAST(tps AS DOUBLE) / (tps + fps), 6) AS "precision",
+       ROUND(tps / t.P, 6) recall FROM c CROSS JOIN t
+UNION ALL SELECT CAST(NULL AS DOUBLE), 1.0, 0.0
+"""
+
+ORACLE["average_precision"] = f"""
+WITH {_CUM}
+SELECT ROUND(SUM(pos / t.P * (tps / (tps + fps))), 6) average_precision FROM c CROSS JOIN t
+"""
+
+ORACLE["score_histogram"] = f"""
+WITH {_SD},
+r AS (SELECT y, CASE WHEN MIN(p) = MAX(p) THEN MIN(p) - 0.5 ELSE MIN(p) END lo,
+             CASE WHEN MIN(p) = MAX(p) THEN MAX(p) + 0.5 ELSE MAX(p) END hi, COUNT(*) n FROM s GROUP BY y),
+b0 AS (SELECT s.y, s.p, r.lo, r.hi, r.n, (r.hi - r.lo) / 50.0 step,
+              LEAST(CAST(FLOOR((s.p - r.lo) * (50.0 / (r.hi - r.lo))) AS INTEGER), 49) i0
+       FROM s JOIN r ON r.y = s.y),
+b1 AS (SELECT *, CASE WHEN p < (CASE WHEN i0 >= 50 THEN hi ELSE i0 * step + lo END) THEN i0 - 1 ELSE i0 END i1 FROM b0),
+b2 AS (SELECT *, CASE WHEN i1 <> 49 AND p >= (CASE WHEN i1 + 1 >= 50 THEN hi ELSE (i1 + 1) * step + lo END)
+                      THEN i1 + 1 ELSE i1 END bin FROM b1)
+SELECT y, CAST(bin AS INTEGER) bin, CAST(COUNT(*) AS BIGINT) count,
+       ROUND(MIN(lo) + bin * ((MIN(hi) - MIN(lo)) / 50.0), 6) bin_start,
+       ROUND(COUNT(*) / (MIN(n) * ((MIN(hi) - MIN(lo)) / 50.0)), 6) density
+FROM b2 GROUP BY y, bin
+"""
+
+_SWEEP = f"""{_SD},
+grid AS (SELECT CAST(i AS INTEGER) i, CASE WHEN i = 99 THEN 1.0 ELSE i * (1.0 / 99.0) END threshold
+         FROM range(100) t(i)),
+c AS (SELECT g.i, g.threshold,
+             CAST(SUM(CASE WHEN s.p >= g.threshold AND s.y = 1 THEN 1 ELSE 0 END) AS DOUBLE) tp,
+             CAST(SUM(CASE WHEN s.p >= g.threshold AND s.y = 0 THEN 1 ELSE 0 END) AS DOUBLE) fp,
+             CAST(SUM(CASE WHEN s.p < g.threshold AND s.y = 1 THEN 1 ELSE 0 END) AS DOUBLE) fn,
+             CAST(SUM(CASE WHEN s.p < g.threshold AND s.y = 0 THEN 1 ELSE 0 END) AS DOUBLE) tn,
+             CAST(COUNT(*) AS DOUBLE) n
+      FROM grid g CROSS JOIN s GROUP BY g.i, g.threshold),
+m AS (SELECT i, threshold, (tp + tn) / n accuracy,
+             CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS "precision",
+             CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END recall FROM c),
+f AS (SELECT *, CASE WHEN "precision" + recall > 0 THEN 2 * "precision" * recall / ("precision" + recall) ELSE 0.0 END f1 FROM m)"""
+
+ORACLE["threshold_sweep"] = f"""
+WITH {_SWEEP}
+SELECT i, ROUND(threshold, 6) threshold, ROUND(accuracy, 6) accuracy, ROUND("precision", 6) AS "precision",
+       ROUND(recall, 6) recall, ROUND(f1, 6) f1 FROM f
+"""
+
+ORACLE["best_threshold"] = f"""
+WITH {_SWEEP}
+SELECT ROUND(arg_max(threshold, (accuracy, -i)), 6) threshold, ROUND(MAX(accuracy), 6) accuracy FROM f
+"""
