@@ -513,3 +513,238 @@ def q_sweep(spark, sf_dir):
 def q_best_threshold(spark, sf_dir):
     out = EV.best_threshold(EV.threshold_sweep(scored_docs(spark, sf_dir), "y", "p"))
     return out.select(_r("threshold").alias("threshold"), _r("accuracy").alias("accuracy"))
+
+
+# --- F / G / H: transforms, split, selection, learners ---------------------
+
+from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: E402
+
+from ..operators import models as MD  # noqa: E402
+from ..operators import split as SP  # noqa: E402
+from ..operators import transform as TR  # noqa: E402
+
+LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+
+
+def embedding_frame(spark, sf_dir) -> DataFrame:
+    """``vec_id, label, features`` (label = ``label < 5``; floats widened)."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", (F.col("label") < 5).cast("double").alias("label"),
+                    array_to_vector(F.transform("embedding", lambda x: x.cast("double")))
+                    .alias("features"))
+
+
+def lineitem_frame(spark, sf_dir) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                     (F.col("l_returnflag") == "R").cast("double").alias("label"),
+                     array_to_vector(F.array(*[F.col(c).cast("double") for c in LINE_FEATURES]))
+                     .alias("features"))
+
+
+def _long(df, id_cols, col, name):
+    return df.select(*id_cols, F.posexplode(vector_to_array(col)).alias("dim", name)) \
+             .select(*id_cols, F.col("dim").cast("int").alias("dim"), _r(name).alias(name))
+
+
+@register("standardise_exact")
+def q_standardise(spark, sf_dir):
+    e = embedding_frame(spark, sf_dir)
+    m = TR.fit_exact_scaler(e, "features", "scaled")
+    return _long(m.transform(e), ["vec_id"], "scaled", "z")
+
+
+@register("mean_centre")
+def q_mean_centre(spark, sf_dir):
+    e = embedding_frame(spark, sf_dir)
+    m = TR.fit_exact_scaler(e, "features", "centred", with_std=False)
+    return _long(m.transform(e), ["vec_id"], "centred", "c")
+
+
+@register("standardise_exact_lineitem")
+def q_standardise_lineitem(spark, sf_dir):
+    li = lineitem_frame(spark, sf_dir)
+    m = TR.fit_exact_scaler(li, "features", "scaled")
+    return _long(m.transform(li), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
+                 "scaled", "z")
+
+
+EMB_NAMES = [f"emb_{i}" for i in range(64)]
+
+
+def _pca(spark, sf_dir, k=10):
+    e = embedding_frame(spark, sf_dir)
+    sc = TR.fit_exact_scaler(e, "features", "scaled")
+    z = sc.transform(e)
+    return z, TR.fit_pca(z, "scaled", k)
+
+
+@register("pca_variance_ratio")
+def q_pca_ratio(spark, sf_dir):
+    _, m = _pca(spark, sf_dir)
+    return TR.variance_table(spark, m)
+
+
+@register("pca_projection")
+def q_pca_projection(spark, sf_dir):
+    z, m = _pca(spark, sf_dir)
+    return TR.projection_2d(m, z, "vec_id", "label")
+
+
+@register("pca_top_loadings")
+def q_pca_top(spark, sf_dir):
+    _, m = _pca(spark, sf_dir)
+    return TR.top_contributors(spark, m, EMB_NAMES)
+
+
+@register("pca_loadings")
+def q_pca_loadings(spark, sf_dir):
+    _, m = _pca(spark, sf_dir)
+    return TR.loadings_table(spark, m, EMB_NAMES)
+
+
+def modular_hash(col: str, mult: int, mod: int) -> Column:
+    """An integer hash SQL can state as well (keeps values small, no overflow)."""
+    return F.pmod(F.col(col) * F.lit(mult), F.lit(mod))
+
+
+@register("hash_split")
+def q_hash_split(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    out = SP.hash_split(o, ["o_orderkey"], 0.15, hash_col=modular_hash("o_orderkey", 7919, 1_000_000))
+    return out.select("o_orderkey", "is_test")
+
+
+@register("exact_split")
+def q_exact_split(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    out = SP.exact_split(o, ["o_orderkey"], 0.15, hash_col=modular_hash("o_orderkey", 7919, 1000))
+    return out.select("o_orderkey", "is_test")
+
+
+def _train_part(df: DataFrame, key: str, fraction: float = 0.15) -> tuple[DataFrame, DataFrame]:
+    s = SP.hash_split(df, [key], fraction)
+    return s.where(~F.col("is_test")).drop("is_test"), s.where(F.col("is_test")).drop("is_test")
+
+
+@register("feature_selection")
+def q_feature_selection(spark, sf_dir):
+    train, _ = _train_part(embedding_frame(spark, sf_dir), "vec_id")
+    slicer, idx, model = SP.select_top_features(train, n_features=16, num_trees=20, max_depth=5)
+    imp = model.featureImportances.toArray()
+    rows = [(r + 1, int(i), EMB_NAMES[i], float(imp[i])) for r, i in enumerate(idx)]
+    return spark.createDataFrame(rows, "rank int, index int, feature string, importance double")
+
+
+def _score(model_out: DataFrame, prob: Column, threshold: float, id_col: str = "vec_id"):
+    return model_out.select(id_col, prob.alias("probability"),
+                            EV.predict_at(prob, threshold).alias("prediction"))
+
+
+@register("logreg_scores")
+def q_logreg(spark, sf_dir):
+    e = embedding_frame(spark, sf_dir)
+    train, _ = _train_part(e, "vec_id")
+    n = train.count()
+    m = MD.logistic(n).fit(train)
+    return _score(m.transform(e), MD.positive_probability("lr_probability"), 0.485)
+
+
+@register("logreg_scores_lineitem")
+def q_logreg_lineitem(spark, sf_dir):
+    li = lineitem_frame(spark, sf_dir)
+    sc = TR.fit_exact_scaler(li, "features", "scaled")
+    z = sc.transform(li)
+    train, _ = _train_part(z, "l_orderkey")
+    n = train.count()
+    m = MD.logistic(n, max_iter=100, features_col="scaled").fit(train)
+    out = m.transform(z)
+    p = MD.positive_probability("lr_probability")
+    return out.select("l_orderkey", "l_linenumber", p.alias("probability"),
+                      EV.predict_at(p, 0.485).alias("prediction"))
+
+
+@register("forest_scores")
+def q_forest(spark, sf_dir):
+    e = embedding_frame(spark, sf_dir)
+    train, _ = _train_part(e, "vec_id")
+    m = MD.random_forest(num_trees=20).fit(train)
+    return _score(m.transform(e), MD.positive_probability("rf_probability"), 0.45)
+
+
+@register("single_forest_scores")
+def q_single_forest(spark, sf_dir):
+    e = embedding_frame(spark, sf_dir)
+    train, _ = _train_part(e, "vec_id")
+    m = MD.random_forest(num_trees=20, max_depth=20, min_instances=2).fit(train)
+    return _score(m.transform(e), MD.positive_probability("rf_probability"), 0.5)
+
+
+@register("random_cut_scores")
+def q_random_cut(spark, sf_dir):
+    e = embedding_frame(spark, sf_dir)
+    train, _ = _train_part(e, "vec_id")
+    m = MD.RandomCutForest(num_trees=20, groups=2).fit(train)
+    return _score(m.transform(e), F.col("et_p1"), 0.45)
+
+
+@register("gbt_scores")
+def q_gbt(spark, sf_dir):
+    e = embedding_frame(spark, sf_dir)
+    train, _ = _train_part(e, "vec_id")
+    m = MD.gbt(max_iter=10).fit(train)
+    return _score(m.transform(e), MD.positive_probability("gbt_probability"), 0.45)
+
+
+@register("regularised_boost_scores")
+def q_xgb(spark, sf_dir):
+    e = embedding_frame(spark, sf_dir)
+    train, _ = _train_part(e, "vec_id")
+    m = MD.regularised_gbt(max_iter=10).fit(train)
+    return _score(m.transform(e), MD.positive_probability("xgb_probability"), 0.45)
+
+
+def _ensemble(spark, sf_dir):
+    e = embedding_frame(spark, sf_dir)
+    train, _ = _train_part(e, "vec_id")
+    members = [("rf", MD.random_forest(num_trees=20)),
+               ("et", MD.RandomCutForest(num_trees=20, groups=2, prefix="et")),
+               ("gbt", MD.gbt(max_iter=10)),
+               ("xgb", MD.regularised_gbt(max_iter=10))]
+    return e, MD.fit_soft_vote(train, members, threshold=0.45)
+
+
+@register("soft_vote_scores")
+def q_soft_vote(spark, sf_dir):
+    e, vote = _ensemble(spark, sf_dir)
+    out = vote.transform(e)
+    return out.select("vec_id", "rf_p1", "et_p1", "gbt_p1", "xgb_p1", "probability", "prediction")
+
+
+@register("soft_vote_mean")
+def q_soft_vote_mean(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    p = [F.col("l_discount") * 10.0, F.col("l_tax") * 12.5, F.col("l_quantity") / 50.0]
+    mean = (p[0] + p[1] + p[2]) / 3.0
+    return li.select("l_orderkey", "l_linenumber", "l_partkey",
+                     _r(mean).alias("probability"),
+                     EV.predict_at(F.round(mean, 9), 0.45).alias("prediction"))
+
+
+@register("importance_topn")
+def q_importance_topn(spark, sf_dir):
+    train, _ = _train_part(embedding_frame(spark, sf_dir), "vec_id")
+    m = MD.random_forest(num_trees=20).fit(train)
+    return EV.importance_table(spark, m.featureImportances.toArray(), EMB_NAMES, top_n=20)
+
+
+@register("importance_mean")
+def q_importance_mean(spark, sf_dir):
+    train, _ = _train_part(embedding_frame(spark, sf_dir), "vec_id")
+    slicer, idx, _ = SP.select_top_features(train, n_features=32, num_trees=20, max_depth=5)
+    sel = slicer.transform(train)
+    members = [MD.random_forest(num_trees=10, features_col="selected", prefix="a").fit(sel),
+               MD.gbt(max_iter=5, features_col="selected", prefix="b").fit(sel)]
+    mean, labels = EV.mean_importance([m.featureImportances.toArray() for m in members],
+                                      idx, EMB_NAMES)
+    return EV.importance_table(spark, mean, labels, top_n=20)

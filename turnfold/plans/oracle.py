@@ -450,3 +450,47 @@ ORACLE["best_threshold"] = f"""
 WITH {_SWEEP}
 SELECT ROUND(arg_max(threshold, (accuracy, -i)), 6) threshold, ROUND(MAX(accuracy), 6) accuracy FROM f
 """
+
+_EMB = """e AS (SELECT vec_id, CAST(UNNEST(embedding) AS DOUBLE) x, UNNEST(generate_series(0, len(embedding) - 1)) dim
+           FROM embeddings),
+st AS (SELECT dim, AVG(x) mu, STDDEV_POP(x) sd FROM e GROUP BY dim)"""
+
+ORACLE["standardise_exact"] = f"""
+WITH {_EMB}
+SELECT e.vec_id, CAST(e.dim AS INTEGER) dim, ROUND((e.x - st.mu) / CASE WHEN st.sd > 0 THEN st.sd ELSE 1.0 END, 6) z
+FROM e JOIN st ON st.dim = e.dim
+"""
+
+ORACLE["mean_centre"] = f"""
+WITH {_EMB}
+SELECT e.vec_id, CAST(e.dim AS INTEGER) dim, ROUND(e.x - st.mu, 6) c FROM e JOIN st ON st.dim = e.dim
+"""
+
+ORACLE["standardise_exact_lineitem"] = """
+WITH e AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                  UNNEST([l_quantity, l_extendedprice, l_discount, l_tax, CAST(l_linenumber AS DOUBLE)]) x,
+                  UNNEST([0, 1, 2, 3, 4]) dim FROM lineitem),
+st AS (SELECT dim, AVG(x) mu, STDDEV_POP(x) sd FROM e GROUP BY dim)
+SELECT e.l_orderkey, e.l_linenumber, e.l_partkey, e.l_suppkey, CAST(e.dim AS INTEGER) dim,
+       ROUND((e.x - st.mu) / CASE WHEN st.sd > 0 THEN st.sd ELSE 1.0 END, 6) z
+FROM e JOIN st ON st.dim = e.dim
+"""
+
+ORACLE["hash_split"] = """
+SELECT o_orderkey, ((o_orderkey * 7919) % 1000000) < 150000 is_test FROM orders
+"""
+
+ORACLE["exact_split"] = """
+SELECT o_orderkey,
+       ROW_NUMBER() OVER (ORDER BY (o_orderkey * 7919) % 1000, o_orderkey) - 1
+         < CEIL((SELECT COUNT(*) FROM orders) * 0.15) is_test
+FROM orders
+"""
+
+ORACLE["soft_vote_mean"] = """
+SELECT l_orderkey, l_linenumber, l_partkey,
+       ROUND((l_discount * 10.0 + l_tax * 12.5 + l_quantity / 50.0) / 3.0, 6) probability,
+       CAST(CASE WHEN ROUND((l_discount * 10.0 + l_tax * 12.5 + l_quantity / 50.0) / 3.0, 9) >= 0.45
+                 THEN 1 ELSE 0 END AS INTEGER) prediction
+FROM lineitem
+"""
