@@ -748,3 +748,116 @@ def q_importance_mean(spark, sf_dir):
     mean, labels = EV.mean_importance([m.featureImportances.toArray() for m in members],
                                       idx, EMB_NAMES)
     return EV.importance_table(spark, mean, labels, top_n=20)
+
+
+# --- A / B / J: sources, nested projection, scoring, runs -------------------
+
+from ..functions import nested as NS  # noqa: E402
+from ..functions.ordering import with_row_index  # noqa: E402
+from ..operators import scoring as SC  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import sinks as SK  # noqa: E402
+
+
+@register("json_field_project")
+def q_json_field(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    parsed = ev.select("event_id", F.from_json("props", "k bigint").alias("rec"))
+    return parsed.select("event_id", F.col("rec.k").alias("k"))
+
+
+@register("nested_path_explode")
+def q_nested_explode(spark, sf_dir):
+    ev = events(spark, sf_dir).select("event_id",
+                                      F.from_json("props", "map<string,bigint>").alias("m"))
+    return ev.select("event_id", F.explode("m").alias("key", "value"))
+
+
+@register("default_weight_projection")
+def q_default_weight(spark, sf_dir):
+    r = roster(spark, sf_dir).withColumn("types", F.array("p_type", "p_brand"))
+    r = NS.non_empty_names(r, "p_name")
+    return NS.named_projection(r, ["l_orderkey", "l_linenumber", "l_quantity", "p_size",
+                                   "type_SMALL", "type_Brand#13"])
+
+
+@register("numeric_projection")
+def q_numeric_projection(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return NS.numeric_projection(li, ["l_orderkey", "l_partkey", "l_suppkey"])
+
+
+def damaged_props() -> Column:
+    """Records damaged in-query: error events cut to their first 5 chars
+    (malformed), signup events emptied to ``{}`` (field missing)."""
+    return (F.when(F.col("event_type") == "error", F.substring("props", 1, 5))
+             .when(F.col("event_type") == "signup", F.lit("{}"))
+             .otherwise(F.col("props")))
+
+
+@register("malformed_record_report")
+def q_malformed(spark, sf_dir):
+    ev = events(spark, sf_dir).select("event_id", damaged_props().alias("txt"))
+    parsed = ev.select("event_id", F.from_json(
+        "txt", "k bigint, _corrupt_record string",
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"))
+    reason = (F.when(F.col("r._corrupt_record").isNotNull(), F.lit("malformed record"))
+               .when(F.col("r.k").isNull(), F.lit("missing field k")))
+    return parsed.select("event_id", reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
+@register("row_identity")
+def q_row_identity(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    out = with_row_index(o, ["o_orderdate", "o_orderkey"], "battle_id")
+    return out.select("o_orderkey", "battle_id")
+
+
+@register("prediction_diff")
+def q_prediction_diff(spark, sf_dir):
+    s = scored_docs(spark, sf_dir)
+    prev = s.select(F.col("doc_id").alias("battle_id"),
+                    EV.predict_at(F.col("p"), 0.5).alias("player_won"))
+    cur = s.select(F.col("doc_id").alias("battle_id"),
+                   EV.predict_at(F.col("p"), 0.485).alias("player_won"))
+    out = SC.prediction_diff(prev, cur)
+    return out.select("compared", "differing", _r("diff_pct").alias("diff_pct"))
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    s = scored_docs(spark, sf_dir).select(F.col("doc_id").alias("battle_id"),
+                                          EV.predict_at(F.col("p"), 0.485).alias("prediction"))
+    path = scratch_path(spark, "predictions")
+    SK.write_predictions(s, path)
+    return SK.read_predictions(spark, path)
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegressionModel
+    from pyspark.ml.feature import PCAModel
+    e = embedding_frame(spark, sf_dir)
+    scaler = TR.fit_exact_scaler(e, "features", "scaled")
+    z = scaler.transform(e)
+    pca = TR.fit_pca(z, "scaled", 10)
+    lr = MD.logistic(z.count(), features_col="pca")
+    model = Pipeline(stages=[scaler, pca, lr]).fit(e)
+    root = scratch_path(spark, "models")
+    SK.save_run(spark, model, root, "model", {"n_components": 10, "C": 1.0})
+    SK.save_run(spark, model, root, "model", {"n_components": 10, "C": 1.0})
+    n, loaded = SK.load_latest(spark, root, "model")
+    SK.check_package(loaded, {"pca": PCAModel, "model": LogisticRegressionModel})
+    return SC.score(loaded, e, "lr_probability", 0.485, id_col="vec_id") \
+             .withColumn("run", F.lit(n))
+
+
+@register("runs_latest")
+def q_runs_latest(spark, sf_dir):
+    acc = q_accuracy(spark, sf_dir).first()
+    root = scratch_path(spark, "runs")
+    SK.append_run_record(spark, root, "model", 1, {"accuracy": acc["accuracy"], "n": acc["n"]})
+    SK.append_run_record(spark, root, "model", 2, {"accuracy": acc["accuracy"], "n": acc["n"],
+                                                   "diff_pct": 0.0, "previous_run": 1})
+    return SK.latest_run_record(spark, root, "model")

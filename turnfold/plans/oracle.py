@@ -494,3 +494,45 @@ SELECT l_orderkey, l_linenumber, l_partkey,
                  THEN 1 ELSE 0 END AS INTEGER) prediction
 FROM lineitem
 """
+
+ORACLE["json_field_project"] = """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) k FROM events
+"""
+
+ORACLE["nested_path_explode"] = """
+SELECT event_id, key, CAST(json_extract_string(props, '$.' || key) AS BIGINT) value
+FROM (SELECT event_id, props, UNNEST(json_keys(props)) key FROM events)
+"""
+
+ORACLE["default_weight_projection"] = """
+SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, p.p_size,
+       CAST(p.p_type = 'SMALL' OR p.p_brand = 'SMALL' AS INTEGER) type_SMALL,
+       CAST(p.p_type = 'Brand#13' OR p.p_brand = 'Brand#13' AS INTEGER) "type_Brand#13",
+       1.0 sample_weight
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+WHERE p.p_name IS NOT NULL AND p.p_name <> ''
+"""
+
+ORACLE["numeric_projection"] = """
+SELECT l_discount, l_extendedprice, l_linenumber, l_quantity, l_tax FROM lineitem
+"""
+
+ORACLE["malformed_record_report"] = """
+WITH d AS (SELECT event_id, CASE WHEN event_type = 'error' THEN substr(props, 1, 5)
+                                 WHEN event_type = 'signup' THEN '{}' ELSE props END txt FROM events)
+SELECT event_id, CASE WHEN NOT json_valid(txt) THEN 'malformed record'
+                      WHEN json_extract(txt, '$.k') IS NULL THEN 'missing field k' END reason
+FROM d WHERE NOT json_valid(txt) OR json_extract(txt, '$.k') IS NULL
+"""
+
+ORACLE["row_identity"] = """
+SELECT o_orderkey, ROW_NUMBER() OVER (ORDER BY o_orderdate, o_orderkey) - 1 battle_id FROM orders
+"""
+
+ORACLE["prediction_diff"] = f"""
+WITH {_SD}
+SELECT CAST(COUNT(*) AS BIGINT) compared,
+       CAST(COUNT(*) FILTER (WHERE (p >= 0.5) <> (p >= 0.485)) AS BIGINT) differing,
+       ROUND(COUNT(*) FILTER (WHERE (p >= 0.5) <> (p >= 0.485)) * 100.0 / COUNT(*), 6) diff_pct
+FROM s
+"""
