@@ -197,3 +197,54 @@ def fit_soft_vote(train: DataFrame, estimators: Sequence[tuple[str, object]],
     finally:
         train.unpersist()
     return SoftVoteModel(members=fitted, threshold=threshold)
+
+
+def stacked_scores(df: DataFrame, members: Sequence[tuple[str, object]], fold: Column, k: int,
+                   id_col: str, label_col: str = "label") -> DataFrame:
+    """Stacking.  Out-of-fold member scores (each member fitted k times
+    on the other folds) train a logistic meta-learner; the members are then
+    refitted on all rows and the meta-learner combines their scores."""
+    base = df.withColumn("_fold", fold).persist()
+    try:
+        oof = None
+        for f in range(k):
+            train = base.where(F.col("_fold") != f)
+            test = base.where(F.col("_fold") == f)
+            scored = test.select(id_col, label_col, "features", "_fold")
+            for name, est in members:
+                m = est.fit(train)
+                scored = m.transform(scored).withColumn(f"{name}_p1", positive_probability(
+                    f"{name}_probability")).drop(f"{name}_probability", f"{name}_raw",
+                                                 f"{name}_prediction")
+            oof = scored if oof is None else oof.unionByName(scored)
+        names = [n for n, _ in members]
+        meta_in = oof.withColumn("meta_features", array_to_vector(F.array(*[f"{n}_p1" for n in names])))
+        meta = logistic(meta_in.count(), features_col="meta_features", prefix="meta").fit(meta_in)
+        full = base
+        for name, est in members:
+            m = est.fit(base)
+            full = m.transform(full).withColumn(f"{name}_p1", positive_probability(
+                f"{name}_probability")).drop(f"{name}_probability", f"{name}_raw",
+                                             f"{name}_prediction")
+        full = full.withColumn("meta_features", array_to_vector(F.array(*[f"{n}_p1" for n in names])))
+        out = meta.transform(full)
+        return out.select(id_col, *[f"{n}_p1" for n in names],
+                          positive_probability("meta_probability").alias("probability"))
+    finally:
+        base.unpersist()
+
+
+def tuned_logistic(df: DataFrame, fold_col: str, grid_reg: Sequence[float], max_iter: int = 100,
+                   label_col: str = "label"):
+    """Grid search with cross-validation over ``regParam`` using a
+    deterministic fold column (hash of the key), area under ROC."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    lr = LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter,
+                            standardization=False, probabilityCol="lr_probability",
+                            rawPredictionCol="lr_raw", predictionCol="lr_prediction")
+    grid = ParamGridBuilder().addGrid(lr.regParam, list(grid_reg)).build()
+    ev = BinaryClassificationEvaluator(rawPredictionCol="lr_raw", labelCol=label_col)
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=ev, foldCol=fold_col,
+                        parallelism=2)
+    return cv.fit(df)

@@ -313,3 +313,46 @@ def split_rejects(state: DataFrame) -> tuple[DataFrame, DataFrame]:
     ok = state.where(F.col("reject_reason").isNull()).drop("reject_reason")
     bad = state.where(F.col("reject_reason").isNotNull()).select("battle_id", "reject_reason")
     return ok, bad
+
+
+# ---------------------------------------------------------------------------
+# K6-K8: turn-to-turn changes (described by the original, not built there)
+# ---------------------------------------------------------------------------
+
+def damage_total(df: DataFrame, match: str, member: str, order: Sequence[str], hp: str
+                 ) -> DataFrame:
+    """K6: per match, sum of HP drops between consecutive turns of the same
+    member: ``sum(greatest(prev_hp - hp, 0))``.  The lag is skew-safe
+    (range partitions on the full key; see ``functions.ordering.with_lag``)."""
+    from ..functions.ordering import with_lag
+    lagged = with_lag(df.select(match, member, hp, *order), [match, member], list(order), [hp])
+    return lagged.groupBy(match).agg(
+        F.coalesce(F.sum(F.greatest(F.col("prev_" + hp) - F.col(hp), F.lit(0.0))), F.lit(0.0))
+        .alias("damage"))
+
+
+def switches_and_knockouts(df: DataFrame, match: str, order: Sequence[str], member: str,
+                           fainted: Column) -> DataFrame:
+    """K7: switch-ins (active member differs from the previous turn's) and
+    knockouts (a fainting turn after a non-fainting one)."""
+    from ..functions.ordering import with_lag
+    base = df.select(match, member, *order, fainted.alias("_faint"))
+    lagged = with_lag(base, [match], list(order), [member, "_faint"])
+    return lagged.groupBy(match).agg(
+        F.count_if(F.col("prev_" + member).isNotNull()
+                   & (F.col(member) != F.col("prev_" + member))).cast("long").alias("switches"),
+        F.count_if(F.col("_faint") & (F.col("prev__faint") == F.lit(False)))
+        .cast("long").alias("knockouts"))
+
+
+def status_inflictions(df: DataFrame, match: str, order: Sequence[str], status: Column,
+                       no_status: str = S.NO_STATUS) -> DataFrame:
+    """K8: turns whose status differs from the previous turn's and is a
+    real status."""
+    from ..functions.ordering import with_lag
+    base = df.select(match, *order, status.alias("_status"))
+    lagged = with_lag(base, [match], list(order), ["_status"])
+    return lagged.groupBy(match).agg(
+        F.count_if(F.col("prev__status").isNotNull()
+                   & (F.col("_status") != F.col("prev__status"))
+                   & (F.col("_status") != F.lit(no_status))).cast("long").alias("inflictions"))

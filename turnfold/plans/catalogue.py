@@ -861,3 +861,69 @@ def q_runs_latest(spark, sf_dir):
     SK.append_run_record(spark, root, "model", 2, {"accuracy": acc["accuracy"], "n": acc["n"],
                                                    "diff_pct": 0.0, "previous_run": 1})
     return SK.latest_run_record(spark, root, "model")
+
+
+# --- K6-K8, K12, K13, K16, K17 ---------------------------------------------
+
+def event_status() -> Column:
+    """Status analogue of an event turn: 'psn' when value >= 100."""
+    return F.when(F.col("value") >= 100.0, F.lit("psn")).otherwise(F.lit("nostatus"))
+
+
+@register("damage_total")
+def q_damage(spark, sf_dir):
+    out = TL.damage_total(events(spark, sf_dir), "user_id", "event_type", EVENT_ORDER, "value")
+    return out.select("user_id", _r("damage").alias("damage"))
+
+
+@register("switch_and_ko")
+def q_switch_ko(spark, sf_dir):
+    return TL.switches_and_knockouts(events(spark, sf_dir), "user_id", EVENT_ORDER,
+                                     "event_type", event_fainted())
+
+
+@register("status_inflictions")
+def q_inflictions(spark, sf_dir):
+    return TL.status_inflictions(events(spark, sf_dir), "user_id", EVENT_ORDER, event_status())
+
+
+@register("matchup_join")
+def q_matchup(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    sup = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"),
+                                                  F.col("s_nationkey").alias("n_nationkey"))
+    chart = table(spark, sf_dir, "nation").select(
+        "n_nationkey", ((F.col("n_regionkey") + 1) / 5.0).alias("multiplier"))
+    members = li.join(sup, "l_suppkey")
+    out = FT.matchup_join(members, chart, "l_orderkey", "n_nationkey", "multiplier")
+    return out.select("l_orderkey", _r("mean_multiplier").alias("mean_multiplier"), "charted_members")
+
+
+@register("stacked_scores")
+def q_stacked(spark, sf_dir):
+    e = embedding_frame(spark, sf_dir)
+    members = [("rf", MD.random_forest(num_trees=10, max_depth=5)), ("gbt", MD.gbt(max_iter=5))]
+    from ..operators.weights import hash_fold
+    return MD.stacked_scores(e, members, hash_fold(["vec_id"], 3), 3, "vec_id")
+
+
+@register("tuned_scores")
+def q_tuned(spark, sf_dir):
+    from ..operators.weights import hash_fold
+    e = embedding_frame(spark, sf_dir).withColumn("fold", hash_fold(["vec_id"], 3))
+    cv = MD.tuned_logistic(e, "fold", [0.001, 0.01, 0.1])
+    out = cv.bestModel.transform(e)
+    p = MD.positive_probability("lr_probability")
+    return out.select("vec_id", p.alias("probability"), EV.predict_at(p, 0.485).alias("prediction"))
+
+
+@register("weighted_scores")
+def q_weighted(spark, sf_dir):
+    e = embedding_frame(spark, sf_dir)
+    counts = WT.content_count(e, ["label"])
+    w = WT.normalise_counts(counts, "sqrt_inverse")
+    e = WT.attach_weights(e, w, ["label"], weight_col="w")
+    m = MD.logistic(e.count(), max_iter=100, weight_col="w").fit(e)
+    p = MD.positive_probability("lr_probability")
+    return m.transform(e).select("vec_id", "w", p.alias("probability"),
+                                 EV.predict_at(p, 0.485).alias("prediction"))

@@ -536,3 +536,33 @@ SELECT CAST(COUNT(*) AS BIGINT) compared,
        ROUND(COUNT(*) FILTER (WHERE (p >= 0.5) <> (p >= 0.485)) * 100.0 / COUNT(*), 6) diff_pct
 FROM s
 """
+
+ORACLE["damage_total"] = """
+WITH l AS (SELECT user_id, value,
+                  LAG(value) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) prev FROM events)
+SELECT user_id, ROUND(COALESCE(SUM(GREATEST(prev - value, 0.0)), 0.0), 6) damage FROM l GROUP BY user_id
+"""
+
+ORACLE["switch_and_ko"] = """
+WITH l AS (SELECT user_id, event_type,
+                  LAG(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) prev FROM events)
+SELECT user_id,
+       CAST(COUNT(*) FILTER (WHERE prev IS NOT NULL AND event_type <> prev) AS BIGINT) switches,
+       CAST(COUNT(*) FILTER (WHERE event_type = 'error' AND prev IS NOT NULL AND prev <> 'error') AS BIGINT) knockouts
+FROM l GROUP BY user_id
+"""
+
+ORACLE["status_inflictions"] = """
+WITH s AS (SELECT user_id, ts, event_id, CASE WHEN value >= 100.0 THEN 'psn' ELSE 'nostatus' END st FROM events),
+l AS (SELECT user_id, st, LAG(st) OVER (PARTITION BY user_id ORDER BY ts, event_id) prev FROM s)
+SELECT user_id, CAST(COUNT(*) FILTER (WHERE prev IS NOT NULL AND st <> prev AND st <> 'nostatus') AS BIGINT) inflictions
+FROM l GROUP BY user_id
+"""
+
+ORACLE["matchup_join"] = """
+SELECT l.l_orderkey, ROUND(AVG((n.n_regionkey + 1) / 5.0), 6) mean_multiplier,
+       CAST(COUNT((n.n_regionkey + 1) / 5.0) AS BIGINT) charted_members
+FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey
+LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey
+GROUP BY l.l_orderkey
+"""
