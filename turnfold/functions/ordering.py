@@ -11,9 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 _PID = "_tf_pid"
 _POS = "_tf_pos"
 
@@ -38,14 +41,34 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
+    """Fix a frame's rows-to-partitions assignment before it is read twice.
+
+    Two reads of the same ``repartitionByRange`` plan are two shuffles, and
+    Spark seeds the range sampler with the RDD id, so their bounds may
+    differ.  ``checkpoint`` writes the frame to the shared folder named by
+    ``spark.checkpoint.dir`` (lineage cut, survives executor loss);
+    ``persist`` keeps it in executor memory/disk instead."""
+    if how == "persist":
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out.count()
+        return out
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def range_sorted(df: DataFrame, order: Sequence[str | Column],
                  num_partitions: int | None = None) -> DataFrame:
     """Range-partition on the whole ordering key and sort inside partitions;
-    afterwards partition ``i`` holds only keys below those of ``i + 1``."""
+    afterwards partition ``i`` holds only keys below those of ``i + 1``.
+    ``_tf_pid`` records the partition and ``_tf_pos`` the position inside
+    it; both are computed in the same stage as the sort."""
     n = _num_partitions(df, num_partitions)
     return (df.repartitionByRange(n, *_cols(order))
               .sortWithinPartitions(*_cols(order))
-              .withColumn(_PID, F.spark_partition_id()))
+              .withColumn(_PID, F.spark_partition_id())
+              .withColumn(_POS, F.monotonically_increasing_id()
+                          - F.shiftleft(F.col(_PID).cast("long"), 33)))
 
 
 def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "row_index",
@@ -55,10 +78,7 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "ro
 
     Distributed: one range shuffle, one aggregate of per-partition counts
     (one row per partition) and a broadcast join of the prefix offsets."""
-    s = range_sorted(df, order, num_partitions)
-    # position inside the partition (contiguous, starts at 0 per partition)
-    s = s.withColumn(_POS, F.monotonically_increasing_id()
-                     - F.shiftleft(F.col(_PID).cast("long"), 33))
+    s = materialize(range_sorted(df, order, num_partitions))
     counts = s.groupBy(_PID).agg(F.count(F.lit(1)).alias("_tf_n"))
     w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PID, F.coalesce(F.sum("_tf_n").over(w), F.lit(0)).alias("_tf_off"))
@@ -73,8 +93,8 @@ def running_sums(df: DataFrame, order: Sequence[str | Column], value_cols: Seque
 
     Per-partition running sums plus an offset per partition: no step ever
     needs all rows in one task."""
-    s = range_sorted(df, order, num_partitions)
-    w_in = (Window.partitionBy(_PID).orderBy(*_cols(order))
+    s = materialize(range_sorted(df, order, num_partitions))
+    w_in = (Window.partitionBy(_PID).orderBy(_POS)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     for c in value_cols:
         s = s.withColumn(c + "_local", F.sum(c).over(w_in))
@@ -86,7 +106,7 @@ def running_sums(df: DataFrame, order: Sequence[str | Column], value_cols: Seque
     for c in value_cols:
         out = out.withColumn(c + suffix, F.col(c + "_local") + F.col(c + "_off"))
         out = out.drop(c + "_local", c + "_off")
-    return out.drop(_PID)
+    return out.drop(_PID, _POS)
 
 
 def with_lag(df: DataFrame, group: Sequence[str], order: Sequence[str],
@@ -101,14 +121,14 @@ def with_lag(df: DataFrame, group: Sequence[str], order: Sequence[str],
     one-row-per-partition table, broadcast), when it belongs to the same
     group."""
     key = list(group) + list(order)
-    s = range_sorted(df, key, num_partitions)
-    w = Window.partitionBy(_PID).orderBy(*key)
+    s = materialize(range_sorted(df, key, num_partitions))
+    w = Window.partitionBy(_PID).orderBy(_POS)
     s = s.withColumn("_tf_rn", F.row_number().over(w))
     for c in list(group) + list(value_cols):
         s = s.withColumn("_tf_lag_" + c, F.lag(c, 1).over(w))
     # last row of every partition
     last_struct = F.max_by(F.struct(*[F.col(c).alias(c) for c in list(group) + list(value_cols)]),
-                           F.struct(*[F.col(c) for c in key]))
+                           F.col(_POS))
     last = s.groupBy(_PID).agg(last_struct.alias("_tf_last"))
     # carry = last row of the previous non-empty partition (one row per
     # partition, so this global window is over a tiny table)
@@ -124,5 +144,5 @@ def with_lag(df: DataFrame, group: Sequence[str], order: Sequence[str],
         s = s.withColumn(prefix + c,
                          F.when(first & same_group_carry, F.col("_tf_carry." + c))
                           .when(~first & same_group_in, F.col("_tf_lag_" + c)))
-    drop = ["_tf_rn", "_tf_carry", _PID] + ["_tf_lag_" + c for c in list(group) + list(value_cols)]
+    drop = ["_tf_rn", "_tf_carry", _PID, _POS] + ["_tf_lag_" + c for c in list(group) + list(value_cols)]
     return s.drop(*drop)
