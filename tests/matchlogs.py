@@ -39,3 +39,34 @@ def write_jsonl(path, records, extra_lines=()):
         for line in extra_lines:
             fh.write(line + "\n")
     return path
+
+
+def random_matches(n, seed=0, start_id=0):
+    """``n`` random matches; player 1 tends to win when its members keep HP."""
+    import random
+    from turnfold.schema import STATUS_VOCAB, TYPE_VOCAB
+    rnd = random.Random(seed)
+    names = [f"mon{i}" for i in range(30)]
+    moves = [(f"mv{i}", rnd.choice(["physical", "special", "status"]), rnd.choice(TYPE_VOCAB[:-1]))
+             for i in range(40)]
+    out = []
+    for b in range(n):
+        team_names = rnd.sample(names, 6)
+        team = [member(t, (rnd.choice(TYPE_VOCAB[:-1]), rnd.choice(TYPE_VOCAB)),
+                       hp=float(rnd.randint(40, 120)), atk=float(rnd.randint(40, 120)))
+                for t in team_names]
+        tl = []
+        hp_sum = 0.0
+        for t in range(rnd.randint(3, 20)):
+            active = rnd.choice(team_names[:4])
+            hp1 = round(rnd.random(), 2)
+            hp_sum += hp1
+            mv = rnd.choice(moves)
+            m1 = move(mv[0], mv[1], mv[2], float(rnd.randint(0, 120))) if rnd.random() < 0.8 else None
+            mv2 = rnd.choice(moves)
+            m2 = move(mv2[0], mv2[1], mv2[2]) if rnd.random() < 0.8 else None
+            tl.append(turn(active, hp1, f"opp{rnd.randint(0, 5)}", rnd.choice([0.0, 0.3, 0.7, 1.0]),
+                           m1, m2, status1=rnd.choice(STATUS_VOCAB)))
+        won = hp_sum / len(tl) + rnd.random() * 0.3 > 0.6
+        out.append(record(start_id + b, team, tl, won))
+    return out
