@@ -52,9 +52,19 @@ def test_streaming_scoring(spark, logs):
     assert rows == 80
 
 
-def test_ensemble_train(spark, logs):
-    train, _ = logs
+def test_ensemble_train_save_score(spark, logs):
+    train, test = logs
+    root = scratch_path(spark, "ens")
     res = J.train_ensemble(spark, train, n_top_features=40, num_trees=8, gbt_rounds=5,
-                           xgb_rounds=5)
+                           xgb_rounds=5, models_root=root)
     assert res.n_test > 0 and 0.0 <= res.test_accuracy <= 1.0
-    assert 0.5 <= res.train_accuracy <= 1.0
+    assert 0.5 <= res.train_accuracy <= 1.0 and res.run == 1
+    out = scratch_path(spark, "ens-pred")
+    info = J.score_ensemble(spark, test, root, out)
+    assert info["rows"] == 80 and info["run"] == 1
+    # the loaded vote reproduces the in-memory one
+    prep, vote = res.model
+    feats, _ = J.match_feature_table(spark, test, is_train=False)
+    a = {r.battle_id: r.probability for r in vote.transform(prep.transform(feats)).collect()}
+    b = {r.battle_id: r.player_won for r in SK.read_predictions(spark, out).collect()}
+    assert {int(k): int(v >= vote.threshold) for k, v in a.items()} == {int(k): v for k, v in b.items()}

@@ -248,3 +248,47 @@ def tuned_logistic(df: DataFrame, fold_col: str, grid_reg: Sequence[float], max_
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=ev, foldCol=fold_col,
                         parallelism=2)
     return cv.fit(df)
+
+
+def save_soft_vote(spark, vote: SoftVoteModel, path: str) -> None:
+    """A8 for the ensemble: every member under ``path/<name>``; random-cut
+    members as their cut matrices (parquet) plus one forest per group; a
+    one-row manifest with member kinds and the threshold."""
+    import json
+    manifest = {"threshold": vote.threshold, "members": []}
+    for name, model in vote.members:
+        if isinstance(model, RandomCutForestModel):
+            groups = []
+            for g, (cuts, rf, trees) in enumerate(model.groups):
+                rows = [(i, [float(c) for c in row]) for i, row in enumerate(cuts)]
+                spark.createDataFrame(rows, "feature int, cuts array<double>") \
+                     .write.mode("overwrite").parquet(f"{path}/{name}/cuts_{g}")
+                rf.write().overwrite().save(f"{path}/{name}/forest_{g}")
+                groups.append(trees)
+            manifest["members"].append({"name": name, "kind": "random_cut", "groups": groups,
+                                        "features_col": model.features_col, "prefix": model.prefix})
+        else:
+            model.write().overwrite().save(f"{path}/{name}")
+            manifest["members"].append({"name": name, "kind": type(model).__name__})
+    spark.createDataFrame([(json.dumps(manifest),)], "manifest string") \
+         .write.mode("overwrite").json(f"{path}/_manifest")
+
+
+def load_soft_vote(spark, path: str) -> SoftVoteModel:
+    import json
+
+    from pyspark.ml import classification as C
+    manifest = json.loads(spark.read.json(f"{path}/_manifest").first()["manifest"])
+    members = []
+    for m in manifest["members"]:
+        if m["kind"] == "random_cut":
+            model = RandomCutForestModel(features_col=m["features_col"], prefix=m["prefix"])
+            for g, trees in enumerate(m["groups"]):
+                rows = spark.read.parquet(f"{path}/{m['name']}/cuts_{g}").orderBy("feature").collect()
+                cuts = np.array([r.cuts for r in rows])
+                rf = C.RandomForestClassificationModel.load(f"{path}/{m['name']}/forest_{g}")
+                model.groups.append((cuts, rf, trees))
+        else:
+            model = getattr(C, m["kind"]).load(f"{path}/{m['name']}")
+        members.append((m["name"], model))
+    return SoftVoteModel(members=members, threshold=manifest["threshold"])

@@ -248,3 +248,20 @@ def class_counts(df: DataFrame, label: Column) -> DataFrame:
     return df.agg(F.count(F.lit(1)).cast("long").alias("total"),
                   F.count_if(y == 1).cast("long").alias("wins"),
                   F.count_if(y == 0).cast("long").alias("losses"))
+
+
+def weight_handling(members: DataFrame, counts: DataFrame, fields: Sequence[str],
+                    method: str = "sqrt_inverse", weight_col: str = "sample_weight"
+                    ) -> tuple[DataFrame, DataFrame]:
+    """The weighting driver -- the E12 comparison report, then the
+    chosen method's weights (E3-E10) attached to every member (E11).
+    Returns ``(weighted members, comparison report)``."""
+    report = method_comparison(counts)
+    weights = normalise_counts(counts, method)
+    return attach_weights(members, weights, fields, weight_col=weight_col), report
+
+
+def roster_counts(rosters: DataFrame, team_col: str) -> DataFrame:
+    """Total members and total matches of an array-of-members column."""
+    return rosters.agg(F.sum(F.size(team_col)).cast("long").alias("members"),
+                       F.count(F.lit(1)).cast("long").alias("matches"))

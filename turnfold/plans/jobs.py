@@ -86,7 +86,8 @@ def train_ensemble(spark: SparkSession, path: str, test_size: float = 0.15,
                    threshold: float = S.ENSEMBLE_THRESHOLD, use_scaling: bool = True,
                    use_feature_selection: bool = True, n_top_features: int = 300,
                    num_trees: int = 200, gbt_rounds: int = 100, xgb_rounds: int = 150,
-                   with_regularised: bool = True) -> TrainResult:
+                   with_regularised: bool = True, models_root: str | None = None,
+                   prefix: str = "ensemble") -> TrainResult:
     """J2's training side (H2-H6 with F1, G1, G3): scaler (fitted on the
     training part, Q12 corrected) -> top-n selection -> soft vote of the
     forest, the random-cut forest, boosting and (optional) regularised
@@ -120,8 +121,39 @@ def train_ensemble(spark: SparkSession, path: str, test_size: float = 0.15,
         out = vote.transform(prep_model.transform(df))
         return out.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
     n_test = test.count()
-    return TrainResult((prep_model, vote), acc(train), acc(test) if n_test else None,
-                       train.count(), n_test)
+    res = TrainResult((prep_model, vote), acc(train), acc(test) if n_test else None,
+                      train.count(), n_test)
+    if models_root:
+        n = (max(SK.run_numbers(spark, models_root, prefix)) + 1
+             if SK.run_numbers(spark, models_root, prefix) else 1)
+        path = f"{models_root.rstrip('/')}/{prefix}_{n}"
+        prep_model.write().overwrite().save(f"{path}/prep")
+        MD.save_soft_vote(spark, vote, f"{path}/vote")
+        SK.append_run_record(spark, models_root, prefix, n, {
+            "test_size": test_size, "threshold": threshold, "n_top_features": n_top_features,
+            "num_trees": num_trees, "train_accuracy": res.train_accuracy,
+            "test_accuracy": res.test_accuracy, "members": len(members)})
+        res.run = n
+    return res
+
+
+def score_ensemble(spark: SparkSession, path: str, models_root: str, out_csv: str,
+                   prefix: str = "ensemble", threshold: float | None = None) -> dict:
+    """Latest ensemble run -> fold -> features -> scaler -> selection ->
+    soft vote -> ``p >= t`` -> CSV, with the row-count guard."""
+    run, run_path = SK.latest_run(spark, models_root, prefix)
+    prep = PipelineModel.load(f"{run_path}/prep")
+    vote = MD.load_soft_vote(spark, f"{run_path}/vote")
+    if threshold is not None:
+        vote.threshold = threshold
+    feats, rejects = match_feature_table(spark, path, is_train=False)
+    scored = vote.transform(prep.transform(feats)).select("battle_id", "probability", "prediction")
+    n_in, n_out = feats.count(), scored.count()
+    SC.row_count_guard(n_in, n_out)
+    SK.write_predictions(scored, out_csv)
+    info = {"run": run, "rows": n_out, "rejected": rejects.count(), "threshold": vote.threshold}
+    SK.append_run_record(spark, models_root, prefix + "_predict", run, info)
+    return info
 
 
 def score_linear(spark: SparkSession, path: str, models_root: str, out_csv: str,
