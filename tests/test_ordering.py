@@ -45,3 +45,14 @@ def test_lag_on_hot_key(spark):
         want[r[2]] = by.get(r[0])
         by[r[0]] = r[3]
     assert got == want
+
+
+def test_group_row_number_on_hot_key(spark):
+    from turnfold.functions.ordering import group_row_number
+    rows, df = _skewed(spark)
+    got = {r.id: r.rn for r in group_row_number(df, ["g"], ["t", "id"], num_partitions=6).collect()}
+    want, seen = {}, {}
+    for r in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        seen[r[0]] = seen.get(r[0], 0) + 1
+        want[r[2]] = seen[r[0]]
+    assert got == want

@@ -146,3 +146,18 @@ def with_lag(df: DataFrame, group: Sequence[str], order: Sequence[str],
                           .when(~first & same_group_in, F.col("_tf_lag_" + c)))
     drop = ["_tf_rn", "_tf_carry", _PID, _POS] + ["_tf_lag_" + c for c in list(group) + list(value_cols)]
     return s.drop(*drop)
+
+
+def group_row_number(df: DataFrame, group: Sequence[str], order: Sequence[str],
+                     name: str = "rn", num_partitions: int | None = None) -> DataFrame:
+    """``row_number() over (partition by group order by order)`` (1-based)
+    without sorting a hot group in one task: a global index over
+    ``group + order`` (range partitions cut a hot group into pieces) minus
+    the group's first index, taken from a grouped ``min`` (partial
+    aggregation) and joined back on the group key (a shuffle join that AQE
+    can split when one key is hot)."""
+    idx = with_row_index(df, list(group) + list(order), "_tf_gi", num_partitions)
+    first = idx.groupBy(*group).agg(F.min("_tf_gi").alias("_tf_g0"))
+    return (idx.join(first, list(group))
+               .withColumn(name, F.col("_tf_gi") - F.col("_tf_g0") + F.lit(1))
+               .drop("_tf_gi", "_tf_g0"))

@@ -30,15 +30,15 @@ def positive_probability(prob_col: str) -> Column:
 
 
 def logistic(n_train: int, C: float = 1.0, max_iter: int = 1000, features_col: str = "features",
-             label_col: str = "label", prefix: str = "lr", weight_col: str | None = None
-             ) -> LogisticRegression:
+             label_col: str = "label", prefix: str = "lr", weight_col: str | None = None,
+             tol: float = 1e-6) -> LogisticRegression:
     """H1: L2 logistic regression with the reference's objective
     ``0.5*||w||^2 + C * sum(loss)``; dividing by ``C*n`` gives Spark's
     ``regParam = 1 / (C * n)`` on unstandardised coefficients (the intercept
     is not penalised in either)."""
     lr = LogisticRegression(featuresCol=features_col, labelCol=label_col, maxIter=max_iter,
                             regParam=1.0 / (C * max(n_train, 1)), elasticNetParam=0.0,
-                            standardization=False, tol=1e-10,
+                            standardization=False, tol=tol,
                             probabilityCol=f"{prefix}_probability",
                             rawPredictionCol=f"{prefix}_raw", predictionCol=f"{prefix}_prediction")
     if weight_col:

@@ -95,8 +95,9 @@ def first_use_moves(df: DataFrame, match: str, order: Sequence[str], member: str
     first use.  Turns whose move is null contribute nothing.
 
     The dedup is a grouped ``min`` (partial aggregation, skew-safe); the
-    use order is a window over the deduplicated rows, whose count per match
-    is bounded by the move vocabulary, not by the number of turns."""
+    use order is the skew-safe ``group_row_number`` over the deduplicated
+    rows, so a match with very many distinct moves is still numbered by
+    several tasks."""
     mv = _c(move).alias("move")
     base = df.select(match, member, mv, *order).where(F.col("move").isNotNull())
     keys = [match, "move"] if per == "match" else [match, member, "move"]
@@ -107,8 +108,9 @@ def first_use_moves(df: DataFrame, match: str, order: Sequence[str], member: str
     cols.append(F.col("_f." + member).alias(member) if per == "match" else F.col(member))
     cols += [F.col("_f." + o).alias("first_" + o) for o in order]
     out = out.select(*cols)
-    w = Window.partitionBy(match).orderBy(*[F.col("first_" + o) for o in order], F.col("move"))
-    return out.withColumn("use_order", F.row_number().over(w).cast("long"))
+    from ..functions.ordering import group_row_number
+    numbered = group_row_number(out, [match], [*["first_" + o for o in order], "move"], "use_order")
+    return numbered.withColumn("use_order", F.col("use_order").cast("long"))
 
 
 def move_slots(first_uses: DataFrame, match: str, member: str, order: Sequence[str],
@@ -142,9 +144,10 @@ def final_value(df: DataFrame, match: str, order: Sequence[str],
 
 def name_slot(df: DataFrame, match: str, order: Sequence[str], name: str) -> DataFrame:
     """C4: the first (1-based) roster slot holding each name, with the
-    number of slots sharing the name."""
-    w = Window.partitionBy(match).orderBy(*[F.col(o) for o in order])
-    slotted = df.withColumn("slot", F.row_number().over(w))
+    number of slots sharing the name.  Slots come from the skew-safe
+    ``group_row_number`` (no window over a possibly hot match)."""
+    from ..functions.ordering import group_row_number
+    slotted = group_row_number(df.select(match, name, *order), [match], list(order), "slot")
     return slotted.groupBy(match, name).agg(F.min("slot").cast("long").alias("first_slot"),
                                             F.count(F.lit(1)).cast("long").alias("n_slots"))
 

@@ -653,12 +653,17 @@ def q_logreg(spark, sf_dir):
 @register("logreg_scores_lineitem")
 def q_logreg_lineitem(spark, sf_dir):
     li = lineitem_frame(spark, sf_dir)
-    sc = TR.fit_exact_scaler(li, "features", "scaled")
-    z = sc.transform(li)
-    train, _ = _train_part(z, "l_orderkey")
-    n = train.count()
-    m = MD.logistic(n, max_iter=100, features_col="scaled").fit(train)
-    out = m.transform(z)
+    # several passes (scaler statistics, solver iterations) read the same
+    # assembled vectors: keep them for the fitting section only
+    cached = li.persist()
+    try:
+        sc = TR.fit_exact_scaler(cached, "features", "scaled")
+        train, _ = _train_part(sc.transform(cached), "l_orderkey")
+        n = train.count()
+        m = MD.logistic(n, max_iter=100, features_col="scaled").fit(train)
+    finally:
+        cached.unpersist()
+    out = m.transform(sc.transform(li))
     p = MD.positive_probability("lr_probability")
     return out.select("l_orderkey", "l_linenumber", p.alias("probability"),
                       EV.predict_at(p, 0.485).alias("prediction"))
@@ -927,3 +932,66 @@ def q_weighted(spark, sf_dir):
     p = MD.positive_probability("lr_probability")
     return m.transform(e).select("vec_id", "w", p.alias("probability"),
                                  EV.predict_at(p, 0.485).alias("prediction"))
+
+
+# --- full pipelines on the relational match vectors (J1/J2 analogues) ------
+
+def order_vectors(spark, sf_dir) -> DataFrame:
+    """D12 dense form: one fixed-width vector per order (label = status F)."""
+    return FT.relational_feature_vectors(orders_t(spark, sf_dir), roster(spark, sf_dir),
+                                         "l_orderkey", LINE_ORDER,
+                                         F.col("o_orderstatus") == "F")
+
+
+@register("order_feature_vectors")
+def q_order_vectors(spark, sf_dir):
+    v = order_vectors(spark, sf_dir)
+    arr = vector_to_array("features")
+    return v.select("o_orderkey", "label", F.size(arr).alias("width"),
+                    F.size(F.filter(arr, lambda x: x != 0.0)).alias("nonzero"),
+                    F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), 3).alias("total"))
+
+
+@register("orders_linear_scores")
+def q_orders_linear(spark, sf_dir):
+    """J1 shape: hold-out split -> exact scaler -> PCA -> logistic -> p >= t."""
+    from pyspark.ml import Pipeline
+    v = order_vectors(spark, sf_dir)
+    train, _ = _train_part(v, "o_orderkey")
+    cached = train.persist()
+    try:
+        n = cached.count()
+        sc = TR.fit_exact_scaler(cached, "features", "scaled")
+        pca = TR.fit_pca(sc.transform(cached), "scaled", 50, output_col="pca", rows=n)
+        lr = MD.logistic(n, max_iter=200, features_col="pca")
+        model = Pipeline(stages=[sc, pca, lr]).fit(cached)
+    finally:
+        cached.unpersist()
+    p = MD.positive_probability("lr_probability")
+    return model.transform(v).select("o_orderkey", "label", p.alias("probability"),
+                                     EV.predict_at(p, 0.485).alias("prediction"))
+
+
+@register("orders_ensemble_scores")
+def q_orders_ensemble(spark, sf_dir):
+    """J2 shape: scaler -> top-n selection -> soft vote of four members."""
+    from pyspark.ml import PipelineModel
+    v = order_vectors(spark, sf_dir)
+    train, _ = _train_part(v, "o_orderkey")
+    cached = train.persist()
+    try:
+        sc = TR.fit_exact_scaler(cached, "features", "scaled")
+        z = sc.transform(cached)
+        slicer, idx, _ = SP.select_top_features(z, "scaled", n_features=60, num_trees=10,
+                                                max_depth=6)
+        prep = PipelineModel(stages=[sc, slicer])
+        members = [("rf", MD.random_forest(num_trees=20, features_col="selected")),
+                   ("et", MD.RandomCutForest(num_trees=20, groups=2, features_col="selected",
+                                             prefix="et")),
+                   ("gbt", MD.gbt(max_iter=10, features_col="selected")),
+                   ("xgb", MD.regularised_gbt(max_iter=10, features_col="selected"))]
+        vote = MD.fit_soft_vote(prep.transform(cached), members, threshold=0.45)
+    finally:
+        cached.unpersist()
+    out = vote.transform(prep.transform(v))
+    return out.select("o_orderkey", "label", "probability", "prediction")

@@ -566,3 +566,14 @@ FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey
 LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey
 GROUP BY l.l_orderkey
 """
+
+ORACLE["order_feature_vectors"] = f"""
+WITH {_RANKED}, {_ADV[1:]},
+mem AS (SELECT l_orderkey o_orderkey, UNNEST({_MEMBER_ARR}) v FROM ranked WHERE slot <= 6),
+advl AS (SELECT o_orderkey, UNNEST([a0, a1, a2, {", ".join(f"CASE WHEN o_orderpriority = '{v}' THEN 1.0 ELSE 0.0 END" for v in _PRIO)}]) v FROM adv),
+allv AS (SELECT * FROM mem UNION ALL SELECT * FROM advl)
+SELECT o.o_orderkey, CASE WHEN o.o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END label, 206 width,
+       CAST(COUNT(*) FILTER (WHERE a.v <> 0) AS INTEGER) nonzero, ROUND(SUM(a.v), 3) total
+FROM orders o JOIN allv a ON a.o_orderkey = o.o_orderkey
+GROUP BY o.o_orderkey, o.o_orderstatus
+"""
