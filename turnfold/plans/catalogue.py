@@ -703,6 +703,14 @@ def q_gbt(spark, sf_dir):
 
 @register("regularised_boost_scores")
 def q_xgb(spark, sf_dir):
+    e = embedding_frame(spark, sf_dir)
+    train, _ = _train_part(e, "vec_id")
+    m = MD.NewtonBooster(rounds=10, id_col="vec_id").fit(train)
+    return _score(m.transform(e), F.col("xgb_p1"), 0.45)
+
+
+@register("regularised_gbt_scores")
+def q_xgb_gbt(spark, sf_dir):
     e = embedding_frame(spark, sf_dir)
     train, _ = _train_part(e, "vec_id")
     m = MD.regularised_gbt(max_iter=10).fit(train)
@@ -715,7 +723,7 @@ def _ensemble(spark, sf_dir):
     members = [("rf", MD.random_forest(num_trees=20)),
                ("et", MD.RandomCutForest(num_trees=20, groups=2, prefix="et")),
                ("gbt", MD.gbt(max_iter=10)),
-               ("xgb", MD.regularised_gbt(max_iter=10))]
+               ("xgb", MD.NewtonBooster(rounds=10, id_col="vec_id"))]
     return e, MD.fit_soft_vote(train, members, threshold=0.45)
 
 
@@ -989,7 +997,8 @@ def q_orders_ensemble(spark, sf_dir):
                    ("et", MD.RandomCutForest(num_trees=20, groups=2, features_col="selected",
                                              prefix="et")),
                    ("gbt", MD.gbt(max_iter=10, features_col="selected")),
-                   ("xgb", MD.regularised_gbt(max_iter=10, features_col="selected"))]
+                   ("xgb", MD.NewtonBooster(rounds=10, features_col="selected",
+                                            id_col="o_orderkey"))]
         vote = MD.fit_soft_vote(prep.transform(cached), members, threshold=0.45)
     finally:
         cached.unpersist()

@@ -113,7 +113,8 @@ def train_ensemble(spark: SparkSession, path: str, test_size: float = 0.15,
                ("et", MD.RandomCutForest(num_trees=num_trees, features_col=col, prefix="et")),
                ("gbt", MD.gbt(max_iter=gbt_rounds, features_col=col))]
     if with_regularised:
-        members.append(("xgb", MD.regularised_gbt(max_iter=xgb_rounds, features_col=col)))
+        members.append(("xgb", MD.NewtonBooster(rounds=xgb_rounds, features_col=col,
+                                                id_col="battle_id")))
     vote = MD.fit_soft_vote(tr, members, threshold)
     prep_model = PipelineModel(stages=stages)
 
