@@ -100,7 +100,7 @@ class RandomCutForestModel:
         total = sum(t for _, _, t in self.groups)
         parts = []
         for g, (cuts, model, trees) in enumerate(self.groups):
-            out = out.withColumn(f"_{self.prefix}_q", _quantise(self.features_col, cuts))
+            out = _quantise_df(out, self.features_col, cuts, f"_{self.prefix}_q")
             out = model.transform(out).drop(f"_{self.prefix}_q", f"_{self.prefix}_raw{g}",
                                             f"_{self.prefix}_pred{g}")
             parts.append(positive_probability(f"_{self.prefix}_prob{g}") * F.lit(trees / total))
@@ -111,13 +111,27 @@ class RandomCutForestModel:
         return out.withColumn(f"{self.prefix}_p1", p).drop(*drop)
 
 
-def _quantise(features_col: str, cuts: np.ndarray) -> Column:
-    """Feature value -> number of (sorted) random cuts at or below it."""
-    lit = F.array(*[F.array(*[F.lit(float(c)) for c in row]) for row in cuts])
-    arr = vector_to_array(features_col)
-    q = F.transform(arr, lambda v, i: F.size(F.filter(F.element_at(lit, i + 1),
-                                                      lambda c: c <= v)).cast("double"))
-    return array_to_vector(q)
+def quantiser(features_col: str, cuts: np.ndarray, output_col: str):
+    """Feature value -> number of (sorted) random cuts at or below it, as
+    built-in stages: vector to columns, a multi-column ``Bucketizer``
+    (binary search over the splits, JVM-side) and a ``VectorAssembler``."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import Bucketizer, SQLTransformer, VectorAssembler
+    d = cuts.shape[0]
+    names = [f"_q_in{i}" for i in range(d)]
+    outs = [f"_q_out{i}" for i in range(d)]
+    split = SQLTransformer(statement="SELECT *, " + ", ".join(
+        f"_q_arr[{i}] AS {n}" for i, n in enumerate(names)) + " FROM __THIS__")
+    splits = [[float("-inf")] + sorted(set(float(c) for c in row)) + [float("inf")] for row in cuts]
+    bucket = Bucketizer(inputCols=names, outputCols=outs, splitsArray=splits, handleInvalid="keep")
+    assemble = VectorAssembler(inputCols=outs, outputCol=output_col)
+    return PipelineModel(stages=[split, bucket, assemble]), names + outs
+
+
+def _quantise_df(df: DataFrame, features_col: str, cuts: np.ndarray, output_col: str) -> DataFrame:
+    stages, tmp = quantiser(features_col, cuts, output_col)
+    out = stages.transform(df.withColumn("_q_arr", vector_to_array(features_col)))
+    return out.drop("_q_arr", *tmp)
 
 
 class RandomCutForest:
@@ -142,7 +156,7 @@ class RandomCutForest:
         for g in range(self.groups):
             cuts = np.sort(rng.uniform(lo[:, None], np.maximum(hi, lo)[:, None],
                                        size=(len(lo), self.cuts)), axis=1)
-            q = df.withColumn(f"_{self.prefix}_q", _quantise(self.features_col, cuts))
+            q = _quantise_df(df, self.features_col, cuts, f"_{self.prefix}_q")
             rf = RandomForestClassifier(
                 featuresCol=f"_{self.prefix}_q", labelCol=self.label_col, numTrees=per,
                 maxDepth=self.max_depth, minInstancesPerNode=self.min_instances,
@@ -404,7 +418,7 @@ class NewtonBooster:
             tree = DecisionTreeRegressor(
                 featuresCol=x, labelCol="_t", weightCol="_h", maxDepth=self.max_depth,
                 minWeightFractionPerNode=min(0.49, self.min_child_weight / total_h),
-                seed=self.seed + r, maxBins=64, predictionCol=f"_{self.prefix}_pr",
+                seed=self.seed + r, maxBins=32, predictionCol=f"_{self.prefix}_pr",
                 leafCol=f"_{self.prefix}_leaf").fit(step)
             sums = (tree.transform(step).groupBy(f"_{self.prefix}_leaf")
                     .agg(F.sum("_g").alias("G"), F.sum("_h").alias("H")).collect())
