@@ -171,7 +171,7 @@ adv AS (SELECT o.o_orderkey, o.o_orderpriority,
 ORACLE["roster_stat_boost_block"] = f"""
 WITH {_ADV}
 SELECT o_orderkey, ROUND(a0, 6) adv_alive, ROUND(a1, 6) adv_discovered_alive,
-       ROUND(a2, 6) adv_leader, 0.0 boost_total FROM adv
+       ROUND(a2, 6) adv_leader, CAST(0.0 AS DOUBLE) boost_total FROM adv
 """
 
 _PRIO = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -182,40 +182,40 @@ def _safe(v):
 
 
 ORACLE["one_hot_status"] = "SELECT o_orderkey, " + ", ".join(
-    f"CASE WHEN o_orderpriority = '{v}' THEN 1.0 ELSE 0.0 END status_{_safe(v)}" for v in _PRIO
+    f"CASE WHEN o_orderpriority = '{v}' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END status_{_safe(v)}" for v in _PRIO
 ) + " FROM orders"
 
 _EV = ["click", "view", "purchase", "signup", "error"]
 ORACLE["multi_hot_effects"] = "SELECT user_id, " + ", ".join(
-    f"MAX(CASE WHEN event_type = '{v}' THEN 1.0 ELSE 0.0 END) effect_{v}" for v in _EV
+    f"MAX(CASE WHEN event_type = '{v}' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END) effect_{v}" for v in _EV
 ) + " FROM events GROUP BY user_id"
 
 _PT = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 _BR = [f"Brand#{i}" for i in range(1, 10)]
 ORACLE["dual_type_one_hot"] = "SELECT p_partkey, " + ", ".join(
-    [f"CASE WHEN contains(p_type, '{v}') THEN 1.0 ELSE 0.0 END type1_{_safe(v)}" for v in _PT]
-    + [f"CASE WHEN contains(p_brand, '{v}') THEN 1.0 ELSE 0.0 END type2_{_safe(v)}" for v in _BR]
-    + ["(" + " + ".join(f"CASE WHEN p_brand = '{v}' THEN 1.0 ELSE 0.0 END" for v in _BR)
-       + ") type2_exact_hits"]
+    [f"CASE WHEN contains(p_type, '{v}') THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END type1_{_safe(v)}" for v in _PT]
+    + [f"CASE WHEN contains(p_brand, '{v}') THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END type2_{_safe(v)}" for v in _BR]
+    + ["CAST(" + " + ".join(f"CASE WHEN p_brand = '{v}' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END" for v in _BR)
+       + " AS DOUBLE) type2_exact_hits"]
 ) + " FROM part"
 
 ORACLE["adversary_presence"] = "SELECT user_id, " + ", ".join(
-    [f"0.0 adv_type_obs_{v}" for v in _EV]
-    + [f"MAX(CASE WHEN event_type = '{v}' THEN 1.0 ELSE 0.0 END) adv_type_{v}" for v in _EV]
+    [f"CAST(0.0 AS DOUBLE) adv_type_obs_{v}" for v in _EV]
+    + [f"MAX(CASE WHEN event_type = '{v}' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END) adv_type_{v}" for v in _EV]
 ) + f" FROM events WHERE ({_MOVE}) IS NOT NULL GROUP BY user_id"
 
 _MEMBER_ARR = ("[1.0 - l_discount, l_quantity, l_extendedprice, l_tax, CAST(p_size AS DOUBLE), "
                "p_retailprice, l_discount, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, "
-               + ", ".join(f"CASE WHEN l_linestatus = '{v}' THEN 1.0 ELSE 0.0 END" for v in ["O", "F"]) + ", "
-               + ", ".join(f"CASE WHEN l_returnflag = '{v}' THEN 1.0 ELSE 0.0 END" for v in ["A", "N", "R"]) + ", "
-               + ", ".join(f"CASE WHEN contains(p_type, '{v}') THEN 1.0 ELSE 0.0 END" for v in _PT) + ", "
-               + ", ".join(f"CASE WHEN contains(p_brand, '{v}') THEN 1.0 ELSE 0.0 END" for v in _BR)
+               + ", ".join(f"CASE WHEN l_linestatus = '{v}' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END" for v in ["O", "F"]) + ", "
+               + ", ".join(f"CASE WHEN l_returnflag = '{v}' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END" for v in ["A", "N", "R"]) + ", "
+               + ", ".join(f"CASE WHEN contains(p_type, '{v}') THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END" for v in _PT) + ", "
+               + ", ".join(f"CASE WHEN contains(p_brand, '{v}') THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END" for v in _BR)
                + "]")
 ORACLE["feature_vector_long"] = f"""
 WITH {_RANKED}, {_ADV[1:]},
 mem AS (SELECT l_orderkey o_orderkey, slot, UNNEST({_MEMBER_ARR}) v, UNNEST(generate_series(0, 32)) pos
         FROM ranked WHERE slot <= 6),
-advl AS (SELECT o_orderkey, UNNEST([a0, a1, a2, {", ".join(f"CASE WHEN o_orderpriority = '{v}' THEN 1.0 ELSE 0.0 END" for v in _PRIO)}]) v,
+advl AS (SELECT o_orderkey, UNNEST([a0, a1, a2, {", ".join(f"CASE WHEN o_orderpriority = '{v}' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END" for v in _PRIO)}]) v,
                 UNNEST(generate_series(0, 7)) pos FROM adv)
 SELECT o_orderkey, CAST((slot - 1) * 33 + pos AS INTEGER) position, ROUND(v, 6) value FROM mem WHERE v <> 0
 UNION ALL
@@ -324,7 +324,7 @@ ORACLE["weight_method_comparison"] = " UNION ALL ".join(
      ("log_inverse", "weights_log")])
 
 _ENC = """
-rows AS (SELECT p.p_name AS name, CASE WHEN o.o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END y,
+rows AS (SELECT p.p_name AS name, CASE WHEN o.o_orderstatus = 'F' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END y,
                 (l.l_orderkey * 31 + l.l_linenumber) % 5 fold
          FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
          JOIN orders o ON o.o_orderkey = l.l_orderkey
@@ -359,7 +359,7 @@ WITH {_SD} SELECT doc_id, ROUND(p, 6) p, CAST(CASE WHEN p >= 0.485 THEN 1 ELSE 0
 
 ORACLE["accuracy"] = f"""
 WITH {_SD}
-SELECT ROUND(AVG(CASE WHEN y = CASE WHEN p >= 0.485 THEN 1 ELSE 0 END THEN 1.0 ELSE 0.0 END), 6) accuracy,
+SELECT ROUND(AVG(CASE WHEN y = CASE WHEN p >= 0.485 THEN 1 ELSE 0 END THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END), 6) accuracy,
        ROUND(AVG(CAST(y AS DOUBLE)), 6) positive_rate, CAST(COUNT(*) AS BIGINT) n FROM s
 """
 
@@ -508,7 +508,7 @@ ORACLE["default_weight_projection"] = """
 SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, p.p_size,
        CAST(p.p_type = 'SMALL' OR p.p_brand = 'SMALL' AS INTEGER) type_SMALL,
        CAST(p.p_type = 'Brand#13' OR p.p_brand = 'Brand#13' AS INTEGER) "type_Brand#13",
-       1.0 sample_weight
+       CAST(1.0 AS DOUBLE) sample_weight
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 WHERE p.p_name IS NOT NULL AND p.p_name <> ''
 """
@@ -570,9 +570,9 @@ GROUP BY l.l_orderkey
 ORACLE["order_feature_vectors"] = f"""
 WITH {_RANKED}, {_ADV[1:]},
 mem AS (SELECT l_orderkey o_orderkey, UNNEST({_MEMBER_ARR}) v FROM ranked WHERE slot <= 6),
-advl AS (SELECT o_orderkey, UNNEST([a0, a1, a2, {", ".join(f"CASE WHEN o_orderpriority = '{v}' THEN 1.0 ELSE 0.0 END" for v in _PRIO)}]) v FROM adv),
+advl AS (SELECT o_orderkey, UNNEST([a0, a1, a2, {", ".join(f"CASE WHEN o_orderpriority = '{v}' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END" for v in _PRIO)}]) v FROM adv),
 allv AS (SELECT * FROM mem UNION ALL SELECT * FROM advl)
-SELECT o.o_orderkey, CASE WHEN o.o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END label, 206 width,
+SELECT o.o_orderkey, CASE WHEN o.o_orderstatus = 'F' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END label, 206 width,
        CAST(COUNT(*) FILTER (WHERE a.v <> 0) AS INTEGER) nonzero, ROUND(SUM(a.v), 3) total
 FROM orders o JOIN allv a ON a.o_orderkey = o.o_orderkey
 GROUP BY o.o_orderkey, o.o_orderstatus
