@@ -117,7 +117,7 @@ RELATIONAL_ADVERSARY_WIDTH = 3 + len(PRIORITY_VOCAB)
 
 
 def relational_adversary(orders: DataFrame, roster: DataFrame, match: str,
-                         order: Sequence[str]) -> DataFrame:
+                         order: Sequence[str], keep: Sequence[str | Column] = ()) -> DataFrame:
     """Per-match counters (D9 analogue): alive = 6 - #lines, discovered =
     1 + #lines - #returned lines, leader = discount of the last line, then
     priority presence.  Partial aggregation; skew-safe."""
@@ -130,7 +130,7 @@ def relational_adversary(orders: DataFrame, roster: DataFrame, match: str,
     vals = [F.lit(S.START_ALIVE) - n, F.lit(S.START_DISCOVERED_ALIVE) + n - F.coalesce(F.col("_r"), F.lit(0)),
             F.col("_lead")]
     vals += one_hot(F.col("o_orderpriority"), PRIORITY_VOCAB)
-    return j.select("o_orderkey", F.array(*[as_double(v) for v in vals]).alias("adv"))
+    return j.select("o_orderkey", *keep, F.array(*[as_double(v) for v in vals]).alias("adv"))
 
 
 def relational_feature_names(roster_size: int = S.ROSTER_SIZE) -> list[str]:
@@ -177,7 +177,8 @@ def relational_feature_vectors(orders: DataFrame, roster: DataFrame, match: str,
     ranked = ranked_roster(roster, match, order, roster_size)
     blocks = ranked.groupBy(F.col(match).alias("o_orderkey")).agg(
         F.collect_list(F.struct("slot", relational_member_block().alias("b"))).alias("_blocks"))
-    adv = relational_adversary(orders, roster, match, order)
+    adv = relational_adversary(orders, roster, match, order,
+                               keep=[label.cast("double").alias("label")])
     zeros = F.array_repeat(F.lit(0.0), RELATIONAL_MEMBER_WIDTH)
     blocks_col = F.coalesce(F.col("_blocks"), F.array().cast("array<struct<slot:int,b:array<double>>>"))
     arr = F.concat(
@@ -188,8 +189,7 @@ def relational_feature_vectors(orders: DataFrame, roster: DataFrame, match: str,
                 zeros))),
         F.col("adv"))
     names = relational_feature_names(roster_size)
-    base = orders.select("o_orderkey", label.cast("double").alias("label"))
-    return (base.join(adv, "o_orderkey").join(blocks, "o_orderkey", "left")
+    return (adv.join(blocks, "o_orderkey", "left")
             .select("o_orderkey", "label",
                     array_to_vector(arr).alias("features", metadata=feature_metadata(names))))
 
