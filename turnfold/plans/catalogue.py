@@ -60,6 +60,13 @@ def event_move() -> Column:
     return F.when(F.col("event_type") != NO_MOVE_TYPE, k)
 
 
+def has_move() -> Column:
+    """Same rows as ``event_move().isNotNull()``, spelled so the event-type
+    test is pushed into the parquet scan."""
+    return (F.col("event_type") != NO_MOVE_TYPE) & \
+        F.get_json_object("props", "$.k").cast("long").isNotNull()
+
+
 def event_opponent() -> Column:
     return F.get_json_object("props", "$.k").cast("long")
 
@@ -266,7 +273,7 @@ def q_dual_type(spark, sf_dir):
 
 @register("adversary_presence")
 def q_adversary_presence(spark, sf_dir):
-    ev = events(spark, sf_dir).where(event_move().isNotNull())
+    ev = events(spark, sf_dir).where(has_move())
     return ev.groupBy("user_id").agg(
         *[F.lit(0.0).alias("adv_type_obs_" + v) for v in EVENT_ROSTER],
         *[F.max((F.col("event_type") == v).cast("double")).alias("adv_type_" + v)
@@ -296,8 +303,7 @@ def q_type_coverage(spark, sf_dir):
 
 @register("mean_power")
 def q_mean_power(spark, sf_dir):
-    mv = events(spark, sf_dir).select("user_id", event_move().alias("power")) \
-        .where(F.col("power").isNotNull())
+    mv = events(spark, sf_dir).where(has_move()).select("user_id", event_move().alias("power"))
     out = FT.mean_power(mv, "user_id", "power")
     return out.select("user_id", _r("mean_power").alias("mean_power"))
 

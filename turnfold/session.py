@@ -52,3 +52,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     intermediate tables (lineage cuts, round trips)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a large cluster, sized from the input volume.
+
+    * shuffle partitions: enough that each reduce task handles about
+      ``target_partition_bytes`` before AQE coalesces (and at least two
+      waves of the available cores);
+    * scan splits of the same size, so a map task's input fits in memory;
+    * AQE coalescing toward the same size, skew-join splitting for
+      partitions four times larger than that, and a broadcast threshold
+      small enough that a broadcast side is never one of the big tables.
+    """
+    import math
+    parts = max(2 * total_cores, math.ceil(input_bytes / target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Apply runtime-settable SQL settings to a live session."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)
