@@ -1010,3 +1010,15 @@ def q_orders_ensemble(spark, sf_dir):
         cached.unpersist()
     out = vote.transform(prep.transform(v))
     return out.select("o_orderkey", "label", "probability", "prediction")
+
+
+# --- streaming form of the flat fold ------------------------------------------
+
+@register("streaming_state_fold")
+def q_streaming_state_fold(spark, sf_dir):
+    from ..streaming.state_fold import run_state_fold
+    out = run_state_fold(spark, sf_dir, "events.parquet", "user_id", EVENT_ORDER,
+                         "event_type", "value", EVENT_ROSTER, event_fainted())
+    return out.select("user_id", "turns", "alive", "discovered_alive",
+                      _r("leader_value").alias("leader_value"),
+                      *[_r(f"hp_{m}").alias(f"hp_{m}") for m in EVENT_ROSTER])

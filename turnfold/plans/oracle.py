@@ -577,3 +577,23 @@ SELECT o.o_orderkey, CASE WHEN o.o_orderstatus = 'F' THEN CAST(1.0 AS DOUBLE) EL
 FROM orders o JOIN allv a ON a.o_orderkey = o.o_orderkey
 GROUP BY o.o_orderkey, o.o_orderstatus
 """
+
+ORACLE["streaming_state_fold"] = """
+WITH last_ev AS (SELECT user_id, value, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) rn FROM events),
+last_m AS (SELECT user_id, event_type, value,
+                  ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) rn FROM events),
+agg AS (SELECT user_id, CAST(COUNT(*) AS BIGINT) turns,
+               CAST(6 - COUNT(*) FILTER (WHERE event_type = 'error') AS BIGINT) alive,
+               CAST(1 + COUNT(*) - COUNT(*) FILTER (WHERE event_type = 'error') AS BIGINT) discovered_alive
+        FROM events GROUP BY user_id),
+hp AS (SELECT user_id,
+              MAX(CASE WHEN event_type = 'click' THEN value END) hc, MAX(CASE WHEN event_type = 'view' THEN value END) hv,
+              MAX(CASE WHEN event_type = 'purchase' THEN value END) hpu, MAX(CASE WHEN event_type = 'signup' THEN value END) hs,
+              MAX(CASE WHEN event_type = 'error' THEN value END) he
+       FROM last_m WHERE rn = 1 GROUP BY user_id)
+SELECT a.user_id, a.turns, a.alive, a.discovered_alive, ROUND(l.value, 6) leader_value,
+       ROUND(COALESCE(hp.hc, 1.0), 6) hp_click, ROUND(COALESCE(hp.hv, 1.0), 6) hp_view,
+       ROUND(COALESCE(hp.hpu, 1.0), 6) hp_purchase, ROUND(COALESCE(hp.hs, 1.0), 6) hp_signup,
+       ROUND(COALESCE(hp.he, 1.0), 6) hp_error
+FROM agg a JOIN last_ev l ON l.user_id = a.user_id AND l.rn = 1 LEFT JOIN hp ON hp.user_id = a.user_id
+"""
