@@ -22,10 +22,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import nested as NS
+from ..functions.ordering import with_row_index
+from ..operators import evaluate as EV
+from ..operators import features as FT
+from ..operators import models as MD
+from ..operators import scoring as SC
+from ..operators import split as SP
 from ..operators import timeline as TL
+from ..operators import transform as TR
+from ..operators import weights as WT
+from ..session import scratch_path
+from ..sources import sinks as SK
 from ..sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,8 +217,6 @@ def q_status_nullif(spark, sf_dir):
 
 # --- D: feature flattening -------------------------------------------------
 
-from ..operators import features as FT  # noqa: E402
-
 
 def orders_t(spark, sf_dir):
     return table(spark, sf_dir, "orders")
@@ -331,7 +341,6 @@ def q_extreme_member(spark, sf_dir):
 
 # --- E: counts, weights, encodings -----------------------------------------
 
-from ..operators import weights as WT  # noqa: E402
 
 CONTENT_FIELDS = ["p_brand", "p_type"]
 
@@ -444,8 +453,6 @@ def q_distinct_fields(spark, sf_dir):
 
 # --- H8 / I / J: thresholds, evaluation tables, run diff --------------------
 
-from ..operators import evaluate as EV  # noqa: E402
-
 
 def scored_docs(spark, sf_dir) -> DataFrame:
     """``doc_id, y, p``: quality label and a score with exact decimal steps."""
@@ -523,11 +530,6 @@ def q_best_threshold(spark, sf_dir):
 
 # --- F / G / H: transforms, split, selection, learners ---------------------
 
-from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: E402
-
-from ..operators import models as MD  # noqa: E402
-from ..operators import split as SP  # noqa: E402
-from ..operators import transform as TR  # noqa: E402
 
 LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 
@@ -771,12 +773,6 @@ def q_importance_mean(spark, sf_dir):
 
 # --- A / B / J: sources, nested projection, scoring, runs -------------------
 
-from ..functions import nested as NS  # noqa: E402
-from ..functions.ordering import with_row_index  # noqa: E402
-from ..operators import scoring as SC  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import sinks as SK  # noqa: E402
-
 
 @register("json_field_project")
 def q_json_field(spark, sf_dir):
