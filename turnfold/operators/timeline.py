@@ -89,7 +89,7 @@ def alive_counters(df: DataFrame, match: str, fainted: Column, opponent: Column
 
 
 def first_use_moves(df: DataFrame, match: str, order: Sequence[str], member: str,
-                    move: str | Column, per: str = "match") -> DataFrame:
+                    move: str | Column, per: str = "match", use_order: bool = True) -> DataFrame:
     """C8/C9 with B9: each move is kept once -- per match (observed, Q7) or
     per (match, member) (corrected) -- credited to the member active at its
     first use.  Turns whose move is null contribute nothing.
@@ -108,6 +108,8 @@ def first_use_moves(df: DataFrame, match: str, order: Sequence[str], member: str
     cols.append(F.col("_f." + member).alias(member) if per == "match" else F.col(member))
     cols += [F.col("_f." + o).alias("first_" + o) for o in order]
     out = out.select(*cols)
+    if not use_order:
+        return out
     from ..functions.ordering import group_row_number
     numbered = group_row_number(out, [match], [*["first_" + o for o in order], "move"], "use_order")
     return numbered.withColumn("use_order", F.col("use_order").cast("long"))

@@ -146,7 +146,8 @@ def q_first_use_member(spark, sf_dir):
 @register("move_slots_padded")
 def q_move_slots(spark, sf_dir):
     ev = events(spark, sf_dir)
-    first = TL.first_use_moves(ev, "user_id", EVENT_ORDER, "event_type", event_move())
+    first = TL.first_use_moves(ev, "user_id", EVENT_ORDER, "event_type", event_move(),
+                               use_order=False)
     slots = TL.move_slots(first, "user_id", "event_type", EVENT_ORDER)
     # D8 move numerics: power = k, accuracy = value of the first use, cat by
     # a case-sensitive category test; padding slots are zeros
