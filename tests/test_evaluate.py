@@ -104,3 +104,23 @@ def test_run_diff(spark):
     assert r.compared == 3 and r.diff_pct == pytest.approx(33.3333333)
     none = spark.createDataFrame([(9, 1)], "battle_id int, player_won int")
     assert SC.prediction_diff(prev, none).first().diff_pct is None
+
+
+def test_evaluation_suite_tables(spark):
+    rnd = random.Random(9)
+    tr = _df(spark, [rnd.randint(0, 1) for _ in range(120)], [rnd.randint(0, 50) / 50 for _ in range(120)])
+    te = _df(spark, [rnd.randint(0, 1) for _ in range(40)], [rnd.randint(0, 50) / 50 for _ in range(40)])
+    out = EV.evaluation_suite(tr, te, "y", "p", 0.45)
+    assert set(out) == {f"{s}/{m}" for s in ("train", "test") for m in
+                        ("confusion", "roc", "pr", "histogram")} | {"train/sweep"}
+    assert out["test/confusion"].agg(F.sum("n")).first()[0] == 40
+    assert out["train/sweep"].count() == 100
+    only_train = EV.evaluation_suite(tr, None, "y", "p", 0.45)
+    assert not any(k.startswith("test/") for k in only_train)
+
+
+def test_scale_conf():
+    from turnfold.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(1024, 8)["spark.sql.shuffle.partitions"] == "16"
