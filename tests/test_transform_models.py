@@ -120,3 +120,19 @@ def test_newton_booster_matches_numpy(spark):
     for k, v in leaves.items():
         sel = leaf_of == k
         assert v == pytest.approx(-g[sel].sum() / (h[sel].sum() + 1.0))
+
+
+def test_drop_constant_keeps_pca(spark):
+    rng = np.random.default_rng(3)
+    X = rng.normal(size=(60, 5))
+    X[:, 1] = 4.0
+    X[:, 3] = 0.0
+    df = _matrix(spark, X)
+    slicer, kept = TR.fit_drop_constant(df, "features", "v")
+    assert kept == [0, 2, 4]
+    full = TR.fit_exact_scaler(df, "features", "z").transform(df)
+    red = slicer.transform(df)
+    red = TR.fit_exact_scaler(red, "v", "z").transform(red)
+    r1 = np.array([r.ratio for r in TR.variance_table(spark, TR.fit_pca(full, "z", 3)).collect()])
+    r2 = np.array([r.ratio for r in TR.variance_table(spark, TR.fit_pca(red, "z", 3)).collect()])
+    assert r1 == pytest.approx(r2)

@@ -63,11 +63,15 @@ def train_linear(spark: SparkSession, path: str, n_components: int = 200, C: flo
     test = split.where(F.col("is_test")).drop("is_test")
     n_train = train.count()
     n_test = test.count()
-    scaler = TR.fit_exact_scaler(train, "features", "scaled")
-    z = scaler.transform(train)
+    # constant columns (at least the 159 never filled) carry no variance:
+    # dropping them first leaves PCA and the fit unchanged and shrinks both
+    drop, _ = TR.fit_drop_constant(train, "features", "varying")
+    varying = drop.transform(train)
+    scaler = TR.fit_exact_scaler(varying, "varying", "scaled")
+    z = scaler.transform(varying)
     pca = TR.fit_pca(z, "scaled", n_components, output_col="pca", rows=n_train)
     lr = MD.logistic(n_train, C=C, max_iter=max_iter, features_col="pca")
-    model = Pipeline(stages=[scaler, pca, lr]).fit(train)
+    model = Pipeline(stages=[drop, scaler, pca, lr]).fit(train)
 
     def acc(df):
         s = SC.score(model, df, "lr_probability", threshold)
@@ -96,13 +100,14 @@ def train_ensemble(spark: SparkSession, path: str, test_size: float = 0.15,
     split = SP.hash_split(feats, ["battle_id"], test_size)
     train = split.where(~F.col("is_test")).drop("is_test")
     test = split.where(F.col("is_test")).drop("is_test")
-    stages = []
-    col = "features"
+    drop, _ = TR.fit_drop_constant(train, "features", "varying")
+    stages = [drop]
+    col = "varying"
     if use_scaling:
-        scaler = TR.fit_exact_scaler(train, "features", "scaled")
+        scaler = TR.fit_exact_scaler(drop.transform(train), "varying", "scaled")
         stages.append(scaler)
         col = "scaled"
-    prep = PipelineModel(stages=stages) if stages else PipelineModel(stages=[])
+    prep = PipelineModel(stages=stages)
     tr = prep.transform(train)
     if use_feature_selection:
         slicer, idx, _ = SP.select_top_features(tr, col, n_features=n_top_features)
