@@ -127,12 +127,13 @@ def weight_expr(method: str, stats: dict, count_col: str = "count") -> Column:
 
 
 def normalise_counts(counts: DataFrame, method: str = "inverse_frequency",
-                     count_col: str = "count") -> DataFrame:
+                     count_col: str = "count", stats: dict | None = None) -> DataFrame:
     """Adds ``freq`` (count / total) and ``weight``; the inverse
     methods are re-scaled so the weights sum to the number of keys.  An
     empty input gives an empty result (E9: the method is only checked when
-    there is something to weigh)."""
-    stats = count_stats(counts, count_col)
+    there is something to weigh).  ``stats`` may carry an earlier
+    :func:`count_stats` result of the same counts, saving its pass."""
+    stats = stats if stats is not None else count_stats(counts, count_col)
     if not stats["n"]:
         return counts.withColumn("weight", F.lit(None).cast("double")) \
                      .withColumn("freq", F.lit(None).cast("double"))
@@ -177,9 +178,10 @@ def method_comparison(counts: DataFrame, methods: Sequence[str] = RENORMALISED,
     first seen among the largest counts, the least common the last seen
     among the smallest."""
     order = F.struct(F.col("count"), F.negative(F.col(order_col)))
+    stats = count_stats(counts)          # one pass, shared by every method
     rows = []
     for m in methods:
-        w = normalise_counts(counts, m)
+        w = normalise_counts(counts, m, stats=stats)
         rows.append(w.agg(F.lit(m).alias("method"),
                           F.max_by("key", order).alias("most_key"),
                           F.min_by("key", order).alias("least_key"),
@@ -257,7 +259,7 @@ def weight_handling(members: DataFrame, counts: DataFrame, fields: Sequence[str]
     chosen method's weights (E3-E10) attached to every member (E11).
     Returns ``(weighted members, comparison report)``."""
     report = method_comparison(counts)
-    weights = normalise_counts(counts, method)
+    weights = normalise_counts(counts, method, stats=count_stats(counts))
     return attach_weights(members, weights, fields, weight_col=weight_col), report
 
 
