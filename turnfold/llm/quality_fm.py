@@ -69,14 +69,12 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, factors: int = FACTORS, epochs: int = EPOCHS,
         rate: float = 0.08, decay: float = 1e-4, batch: int = 128, seed: int = 11) -> dict:
-    """AdaGrad on the logistic loss over rows (columns, values); classes are
-    weighted alike."""
+    """AdaGrad on the logistic loss over rows (columns, values)."""
     rng = np.random.default_rng(seed)
     prior = float(np.mean(y)) if len(y) else 0.5
     model = {"w0": 0.0, "w": np.zeros(WIDTH), "v": rng.normal(0.0, 0.02, (WIDTH, factors))}
     if prior in (0.0, 1.0) or not len(y):
         return {"w0": 0.0, "w": np.zeros(WIDTH), "v": np.zeros((WIDTH, factors)), "constant": prior}
-    weight = np.where(y == 1, 0.5 / prior, 0.5 / (1.0 - prior))
     g0, gw, gv = 1e-6, np.full(WIDTH, 1e-6), np.full((WIDTH, factors), 1e-6)
     for _ in range(epochs):
         order = rng.permutation(len(rows))
@@ -86,7 +84,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, factors: int =
             col = np.concatenate([rows[i][0] for i in picked])
             val = np.concatenate([rows[i][1] for i in picked])
             n = len(picked)
-            err = (sigmoid(margins(model, row, col, val, n)) - y[picked]) * weight[picked] / n
+            err = (sigmoid(margins(model, row, col, val, n)) - y[picked]) / n
             used, at = np.unique(col, return_inverse=True)
             e = err[row] * val
             grad = np.bincount(at, weights=e, minlength=len(used)) + decay * model["w"][used]
