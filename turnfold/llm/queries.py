@@ -5,8 +5,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, mixing, quality_fm, quality_rules
-from .frames import table
+from ..session import scratch_path
+from . import brown, covertree, idfile, langid, minhash, mixing, packing, quality_fm, quality_rules, secret_scan
+from .frames import table, written
+
+
+def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-ids")
+    idfile.write_documents(table(spark, sf_dir, "documents"), folder)
+    return idfile.read_documents(spark, folder)
+
+
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,12 +32,33 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = written(scanned.drop("text"), "secret-scan")
+    return secret_scan.digest(secret_scan.with_spans(kept, secret_scan.discovery_bounds(kept)))
+
+
+def op7_similar_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.similar(table(spark, sf_dir, "embeddings"))
+
+
+def op8_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = mixing.copy_counts(table(spark, sf_dir, "documents"))
     return copies.selectExpr("doc_id", "size", "source_size", "target", "size * copies AS taken", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_quality_fm, op5_language_id, op9_mix_sources)}
+def op10_brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_ids, op2_near_duplicates, op3_quality_rules, op4_quality_fm, op5_language_id, op6_secret_scan,
+    op7_similar_vectors, op8_pack_sequences, op9_mix_sources,
+    op10_brown_scores)}
 
 ORACLE: dict[str, str] = {
     "op9_mix_sources": """
