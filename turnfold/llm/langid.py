@@ -155,6 +155,18 @@ def decode(model: dict, row: np.ndarray, cell: np.ndarray, n: int) -> tuple[np.n
     return best, odds[np.arange(n), best], ranked[:, -1] - second
 
 
+def judge(m: dict, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(lo, hi, language or ``und``, score, margin over the second) by row ranges."""
+    for lo, hi, buf, offs in text_slices(column):
+        known = has_letters(column, lo, hi, buf, offs) & bool(m["langs"])
+        name, score, margin = np.full(hi - lo, UNKNOWN, dtype=object), np.zeros(hi - lo), np.zeros(hi - lo)
+        if m["langs"]:
+            best, sure, gap = decode(m, *grams(buf, offs), hi - lo)
+            name[known] = np.array(m["langs"], dtype=object)[best[known]]
+            score[known], margin[known] = sure[known], gap[known]
+        yield lo, hi, name, score, margin
+
+
 def predict(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score, ambiguous`` of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -162,13 +174,7 @@ def predict(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for lo, hi, buf, offs in text_slices(batch.column(1)):
-                known = has_letters(batch.column(1), lo, hi, buf, offs) & bool(m["langs"])
-                name, score, margin = np.full(hi - lo, UNKNOWN, dtype=object), np.zeros(hi - lo), np.zeros(hi - lo)
-                if m["langs"]:
-                    best, sure, gap = decode(m, *grams(buf, offs), hi - lo)
-                    name[known] = np.array(m["langs"], dtype=object)[best[known]]
-                    score[known], margin[known] = sure[known], gap[known]
+            for lo, hi, name, score, margin in judge(m, batch.column(1)):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(name, pa.string()), pa.array(score),
                      pa.array(margin < AMBIGUOUS)], ["doc_id", "lang_pred", "score", "ambiguous"])
@@ -177,11 +183,32 @@ def predict(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text
             .mapInArrow(run, "doc_id long, lang_pred string, score double, ambiguous boolean"))
 
 
+def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", modulus: int = 4,
+          held: int = 2) -> dict:
+    """The model of the rows outside the held-out fold with text and lang."""
+    learning = F.coalesce(fold(key, modulus) != held, F.lit(True))
+    counts = gram_counts(docs.where(learning), text, lang)
+    return fit([tuple(r) for r in counts.toArrow().to_pandas().itertuples(index=False)])
+
+
+def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """``docs`` without the rows that have no letters or an ambiguous
+    language; no shuffle of texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, key, text, lang))
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, name, _, margin in judge(shared.value, batch.column(at)):
+                yield batch.slice(lo, hi - lo).filter(pa.array((name != UNKNOWN) & (margin >= AMBIGUOUS)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", modulus: int = 4,
              held: int = 2) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, ambiguous``; learns outside the
     held-out fold from text and non-null lang."""
-    counts = gram_counts(docs.where(fold(key, modulus) != held), text, lang)
-    model = fit([tuple(r) for r in counts.toArrow().to_pandas().itertuples(index=False)])
+    model = learn(docs, key, text, lang, modulus, held)
     return predict(docs, model, key, text).select(
         "doc_id", (fold("doc_id", modulus) == held).alias("held_out"), "lang_pred", "score", "ambiguous")
