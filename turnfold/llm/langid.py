@@ -31,6 +31,7 @@ from .textops import text_slices
 BUCKETS = 1 << 15
 GRAMS = (1, 2, 3, 4)
 AMBIGUOUS = 0.1
+SLICE = 1 << 20  # bytes of text whose n-grams a task holds at once
 UNKNOWN = "und"
 
 _LETTER = np.full(256, 32, np.uint8)
@@ -80,7 +81,7 @@ def gram_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             names = np.array(batch.column(1).to_pylist(), dtype=object)
-            for lo, hi, buf, offs in text_slices(batch.column(0)):
+            for lo, hi, buf, offs in text_slices(batch.column(0), SLICE):
                 row, cell = grams(buf, offs)
                 levels, code = np.unique(names[lo:hi].astype(str), return_inverse=True)
                 got = np.bincount(code[row] * BUCKETS + cell, minlength=len(levels) * BUCKETS).reshape(-1, BUCKETS)
@@ -157,7 +158,7 @@ def decode(model: dict, row: np.ndarray, cell: np.ndarray, n: int) -> tuple[np.n
 
 def judge(m: dict, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """(lo, hi, language or ``und``, score, margin over the second) by row ranges."""
-    for lo, hi, buf, offs in text_slices(column):
+    for lo, hi, buf, offs in text_slices(column, SLICE):
         known = has_letters(column, lo, hi, buf, offs) & bool(m["langs"])
         name, score, margin = np.full(hi - lo, UNKNOWN, dtype=object), np.zeros(hi - lo), np.zeros(hi - lo)
         if m["langs"]:

@@ -5,11 +5,12 @@ last, weigh 5, 2, 1, 5, ... and share the whole.  A source's target stops at
 ``MAX_REPEATS`` times its size and what exceeds that is shared anew by weight
 until no target is above.  A document of a source with repetition rate r is
 emitted floor(r) times, and once more if a hash-seeded Bernoulli draw with
-probability r - floor(r) says so.  The draws of a source are spread: its
-documents are dealt by hash into strata of about ``STRATUM`` documents, and
-inside a stratum, by size, consecutive draws step by the golden ratio from a
-hash of the stratum.  Each draw alone is uniform, and the copies follow the
-sizes, so the words taken stay near the target.
+probability p = r - floor(r) says so.  The draws of a source are spread: its
+documents are dealt by hash into strata of about ``STRATUM`` documents; inside
+a stratum, by size, the i-th document gets its copy if floor(u + i p) steps up
+there, u being a hash of the stratum.  Each document alone has probability p,
+and neighbours in size make up for each other, so the words taken miss the
+target by less than the largest document of each stratum.
 
 A hot source is many strata, so no task gets it whole.  Defined results: null
 text has size 0; a source without words has target 0 and yields nothing;
@@ -28,7 +29,6 @@ from .frames import WORD
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 STRATUM = 256
-GOLDEN = 0.6180339887498949
 
 
 def word_count(text: str | Column) -> Column:
@@ -80,10 +80,12 @@ def copy_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     df = df.withColumn("stratum", F.floor(unit_hash(F.lit(seed), F.col("doc_id")) * strata).cast("long"))
     order = Window.partitionBy("source", "stratum").orderBy("size", "doc_id")
     start = unit_hash(F.lit(seed), F.col("source"), F.col("stratum"))
-    draw = start + F.row_number().over(order) * F.lit(GOLDEN)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    extra = F.when(draw - F.floor(draw) < rate - F.floor(rate), 1).otherwise(0)
-    return df.withColumn("copies", (F.floor(rate) + extra).cast("int")).drop("stratum", "source_docs")
+    df = df.withColumn("_rate", rate).withColumn("_u", start).withColumn("_i", F.row_number().over(order))
+    part = F.col("_rate") - F.floor("_rate")
+    extra = F.floor(F.col("_u") + F.col("_i") * part) - F.floor(F.col("_u") + (F.col("_i") - 1) * part)
+    return (df.withColumn("copies", (F.floor("_rate") + extra).cast("int"))
+            .drop("stratum", "source_docs", "_rate", "_u", "_i"))
 
 
 def mix_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import fold
+from .frames import fold, hashed_sample
 from .textops import group_counts, span_hashes, text_slices, word_spans
 from .textstats import RATIO_NAMES, count_texts, ratios
 
@@ -107,8 +107,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     """Features and labels of at most ``sample_rows`` labelled rows outside
     the held-out fold, those with the least hash of the key."""
     marks = (labels.where(F.col("quality").isNotNull() & (fold("doc_id", modulus) != held))
-             .groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("quality").cast("int").alias("_y"))
-             .orderBy(F.crc32(F.concat(F.lit("fm"), F.col("_id").cast("string"))), "_id").limit(sample_rows))
+             .groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("quality").cast("int").alias("_y")))
+    marks = hashed_sample(marks, "_id", sample_rows, "fm")
     chosen = (docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"))
               .join(F.broadcast(marks), "_id").select("_id", "_y", "_text"))  # at most sample_rows short rows
 

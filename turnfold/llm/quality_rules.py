@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import written
+from .frames import hashed_sample, written
 from .textops import text_slices
 from .textstats import BASE, COUNTS, RATIO_NAMES, count_texts, ratios
 
@@ -164,8 +164,7 @@ def judge_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     marks = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("quality")))
     labelled = stats.where(~base_failed()).join(marks, "doc_id")
-    sample = (labelled.orderBy(F.crc32(F.concat(F.lit("forest"), F.col("doc_id").cast("string"))), "doc_id")
-              .limit(sample_rows).select("quality", *COUNTS).toPandas())
+    sample = hashed_sample(labelled, "doc_id", sample_rows, "forest").select("quality", *COUNTS).toPandas()
     if not len(sample):
         return stats.select("doc_id", *BASE, base_failed().alias("base_failed"), (~base_failed()).alias("kept"),
                             F.lit(None).cast("double").alias("anomaly"))

@@ -81,10 +81,10 @@ dealt AS (SELECT s.doc_id, s.size, s.source, t.source_size, t.target,
                  CAST(floor(('0x' || substr(md5('17|' || s.doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE
                             * greatest(1, ceil(t.n_docs / 256.0))) AS BIGINT) AS stratum
           FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
-drawn AS (SELECT *, ('0x' || substr(md5('17|' || coalesce(source, '<null>') || '|' || stratum), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE
-                    + row_number() OVER (PARTITION BY source, stratum ORDER BY size, doc_id) * 0.6180339887498949::DOUBLE AS draw
+drawn AS (SELECT *, ('0x' || substr(md5('17|' || coalesce(source, '<null>') || '|' || stratum), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u,
+                 row_number() OVER (PARTITION BY source, stratum ORDER BY size, doc_id) AS i, rate - floor(rate) AS part
           FROM dealt),
-counted AS (SELECT *, CAST(floor(rate) AS INTEGER) + CASE WHEN draw - floor(draw) < rate - floor(rate) THEN 1 ELSE 0 END AS copies FROM drawn)
+counted AS (SELECT *, CAST(floor(rate) + floor(u + i * part) - floor(u + (i - 1) * part) AS INTEGER) AS copies FROM drawn)
 SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(size * copies AS BIGINT) AS taken, CAST(copies AS INTEGER) AS copies
 FROM counted""",
 }

@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # a run of AKIA[A-Z0-9]+ with 20 characters or more
-HEX = r"[0-9a-f]{24,}"  # a whole run of [0-9a-f]+ with 24 characters or more
-TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+# whole runs only: the look behind spares a search from each character of a word
+HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"  # a run of [0-9a-f]+ with 24 characters or more
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
 MASK = "[secret]"
 
 FALSE_DISCOVERY = 0.001
