@@ -49,7 +49,7 @@ def folded(spark, tmp_path_factory):
 
 def test_width_and_layout():
     assert S.FEATURE_WIDTH == 984 and S.MEMBER_WIDTH == 159 and len(S.feature_names()) == 984
-    assert S.feature_names()[954] == "adv_alive"
+    assert S.feature_names()[954] == "team2_pkmn_alive"
 
 
 def test_last_hp(folded):

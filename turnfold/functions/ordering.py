@@ -31,16 +31,6 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even
-    when the table is large; above the bound the plain frame is returned and
-    the planner (with AQE's runtime statistics) picks a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
     """Fix a frame's rows-to-partitions assignment before it is read twice.
 
@@ -138,8 +128,9 @@ def with_lag(df: DataFrame, group: Sequence[str], order: Sequence[str],
     same_group_in = F.lit(True)
     same_group_carry = F.lit(True)
     for g in group:
-        same_group_in = same_group_in & (F.col("_tf_lag_" + g) == F.col(g))
-        same_group_carry = same_group_carry & (F.col("_tf_carry." + g) == F.col(g))
+        same_group_in = same_group_in & F.col("_tf_lag_" + g).eqNullSafe(F.col(g))
+        same_group_carry = (same_group_carry & F.col("_tf_carry").isNotNull()
+                            & F.col("_tf_carry." + g).eqNullSafe(F.col(g)))
     for c in value_cols:
         s = s.withColumn(prefix + c,
                          F.when(first & same_group_carry, F.col("_tf_carry." + c))
@@ -158,6 +149,11 @@ def group_row_number(df: DataFrame, group: Sequence[str], order: Sequence[str],
     can split when one key is hot)."""
     idx = with_row_index(df, list(group) + list(order), "_tf_gi", num_partitions)
     first = idx.groupBy(*group).agg(F.min("_tf_gi").alias("_tf_g0"))
-    return (idx.join(first, list(group))
+    for g in group:  # a null group is a group
+        first = first.withColumnRenamed(g, "_tf_key_" + g)
+    same = F.lit(True)
+    for g in group:
+        same = same & idx[g].eqNullSafe(first["_tf_key_" + g])
+    return (idx.join(first, same).drop(*["_tf_key_" + g for g in group])
                .withColumn(name, F.col("_tf_gi") - F.col("_tf_g0") + F.lit(1))
                .drop("_tf_gi", "_tf_g0"))

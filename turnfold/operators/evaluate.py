@@ -94,8 +94,8 @@ def roc_auc(df: DataFrame, y: str, p: str) -> DataFrame:
     ``neg * (tps + tps_prev) / 2`` divided by ``P * N`` (no lag needed:
     ``tps_prev = tps - pos``)."""
     cum, P, N = cumulative_curve(df, y, p)
-    area = cum.agg(F.sum(F.col("neg") * (2 * F.col("tps") - F.col("pos")) / 2.0).alias("a"))
-    return area.select((F.col("a") / F.lit(P * N) if P * N else F.lit(float("nan")))
+    area = cum.agg(F.sum(F.col("neg").cast("double") * (F.col("tps") - F.col("pos") / 2.0)).alias("a"))
+    return area.select((F.col("a") / F.lit(float(P) * float(N)) if P * N else F.lit(float("nan")))
                        .alias("roc_auc"))
 
 
@@ -135,7 +135,7 @@ def histogram_bin(x: Column, lo: Column, hi: Column, bins: int = HIST_BINS) -> C
 
 
 def score_histogram(df: DataFrame, y: str, p: str, bins: int = HIST_BINS) -> DataFrame:
-    """I8: per class, ``bins`` equal bins over that class's own min..max,
+    """I8: per class, all ``bins`` equal bins over that class's own min..max,
     density-normalised (count / (n * width)).  A class whose scores are all
     equal gets the range (v - 0.5, v + 0.5) as the reference does."""
     s = df.select(F.col(y).cast("int").alias("y"), F.col(p).cast("double").alias("p"))
@@ -147,9 +147,10 @@ def score_histogram(df: DataFrame, y: str, p: str, bins: int = HIST_BINS) -> Dat
     # one row per class: a proven bound
     b = s.join(F.broadcast(rng), "y").withColumn(
         "bin", histogram_bin(F.col("p"), F.col("_lo"), F.col("_hi"), bins))
-    out = b.groupBy("y", "bin").agg(F.count(F.lit(1)).cast("long").alias("count"),
-                                    F.first("_n").alias("_n"), F.first("_lo").alias("_lo"),
-                                    F.first("_hi").alias("_hi"))
+    filled = b.groupBy("y", "bin").agg(F.count(F.lit(1)).cast("long").alias("count"))
+    # bins x classes rows, empty bins with count 0
+    grid = rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    out = grid.join(filled, ["y", "bin"], "left").withColumn("count", F.coalesce("count", F.lit(0).cast("long")))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     return out.select("y", F.col("bin").cast("int").alias("bin"), "count",
                       (F.col("_lo") + F.col("bin") * width).alias("bin_start"),

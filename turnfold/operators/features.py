@@ -246,13 +246,9 @@ def member_code_mean(roster: DataFrame, codes: DataFrame, match: str, name: str,
             .agg(F.avg(code).alias("member_code_mean")))
 
 
-def matchup_join(roster: DataFrame, chart: DataFrame, match: str, key: str, multiplier: str,
-                 max_chart_rows: int = 100_000) -> DataFrame:
+def matchup_join(roster: DataFrame, chart: DataFrame, match: str, key: str, multiplier: str) -> DataFrame:
     """Look every member up in an effectiveness chart and average the
-    multiplier per match.  The chart is broadcast only after its row count
-    is checked against ``max_chart_rows``."""
-    from ..functions.ordering import broadcast_if_small
-    c = broadcast_if_small(chart.select(key, multiplier), max_chart_rows)
-    return (roster.join(c, key, "left").groupBy(match)
+    multiplier per match; the planner picks the join from the chart's size."""
+    return (roster.join(chart.select(key, multiplier), key, "left").groupBy(match)
             .agg(F.avg(multiplier).alias("mean_multiplier"),
                  F.count(multiplier).cast("long").alias("charted_members")))

@@ -151,9 +151,11 @@ class RandomCutForest:
                       .alias("s")).first()["s"]
         lo, hi = s["min"].toArray(), s["max"].toArray()
         rng = np.random.default_rng(self.seed)
-        per = max(1, self.num_trees // self.groups)
+        # as many trees as asked for: the first groups take the remainder
+        groups = min(self.groups, self.num_trees)
+        sizes = [self.num_trees // groups + (g < self.num_trees % groups) for g in range(groups)]
         out = RandomCutForestModel(features_col=self.features_col, prefix=self.prefix)
-        for g in range(self.groups):
+        for g, per in enumerate(sizes):
             cuts = np.sort(rng.uniform(lo[:, None], np.maximum(hi, lo)[:, None],
                                        size=(len(lo), self.cuts)), axis=1)
             q = _quantise_df(df, self.features_col, cuts, f"_{self.prefix}_q")
@@ -415,9 +417,11 @@ class NewtonBooster:
             x = f"_{self.prefix}_x"
             step = VectorSlicer(inputCol=self.features_col, outputCol=x, indices=cols).transform(step)
             total_h = step.agg(F.sum("_h")).first()[0] or 1.0
+            least = self.min_child_weight / total_h
+            # where no split can leave the asked weight on both sides, the tree is one leaf
             tree = DecisionTreeRegressor(
-                featuresCol=x, labelCol="_t", weightCol="_h", maxDepth=self.max_depth,
-                minWeightFractionPerNode=min(0.49, self.min_child_weight / total_h),
+                featuresCol=x, labelCol="_t", weightCol="_h", maxDepth=self.max_depth if least < 0.5 else 0,
+                minWeightFractionPerNode=least if least < 0.5 else 0.0,
                 seed=self.seed + r, maxBins=32, predictionCol=f"_{self.prefix}_pr",
                 leafCol=f"_{self.prefix}_leaf").fit(step)
             sums = (tree.transform(step).groupBy(f"_{self.prefix}_leaf")

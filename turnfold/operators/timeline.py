@@ -116,9 +116,11 @@ def first_use_moves(df: DataFrame, match: str, order: Sequence[str], member: str
 
 
 def move_slots(first_uses: DataFrame, match: str, member: str, order: Sequence[str],
-               max_moves: int = S.MAX_MOVES) -> DataFrame:
+               max_moves: int = S.MAX_MOVES, members: DataFrame | None = None) -> DataFrame:
     """The first ``max_moves`` moves of each member by first use, as slots
-    1..max_moves; absent slots are padded (``move`` null).
+    1..max_moves; absent slots are padded (``move`` null).  ``members`` names
+    the (match, member) pairs of the rosters, so a member without a move gets
+    its padding too; without it only members with a move are known.
 
     ``row_number() <= k`` is planned by Spark as a group limit, so each map
     task already keeps only k rows per member."""
@@ -126,7 +128,8 @@ def move_slots(first_uses: DataFrame, match: str, member: str, order: Sequence[s
                                                   F.col("move"))
     ranked = (first_uses.withColumn("move_slot", F.row_number().over(w))
               .where(F.col("move_slot") <= max_moves))
-    members = first_uses.select(match, member).distinct()
+    if members is None:
+        members = first_uses.select(match, member).distinct()
     slots = members.select(match, member,
                            F.explode(F.sequence(F.lit(1), F.lit(max_moves))).alias("move_slot"))
     return slots.join(ranked, [match, member, "move_slot"], "left")
@@ -155,8 +158,9 @@ def name_slot(df: DataFrame, match: str, order: Sequence[str], name: str) -> Dat
 
 
 def label_column(won: Column, is_train: bool = True) -> Column:
-    """1/0 label in training, -1 (unknown) when scoring."""
-    return (F.when(won, F.lit(1)).otherwise(F.lit(0)) if is_train else F.lit(-1)).cast("int")
+    """1/0 label in training (null where it is absent), -1 (unknown)
+    when scoring."""
+    return (won.cast("int") if is_train else F.lit(-1).cast("int"))
 
 
 def category_indicator(category: Column, value: str = S.PHYSICAL,
@@ -296,8 +300,11 @@ def fold_match_logs(df: DataFrame, is_train: bool = True, semantics: str = "obse
         adv_status.alias("statuses"),
         F.try_element_at(tl, F.lit(-1))["hp2"].alias("hp_leader"))
 
-    reason = (F.when(F.col("p1_team_details").isNull() | F.col("battle_timeline").isNull(),
-                     F.lit("missing field"))
+    absent = (F.col("p1_team_details").isNull() | F.col("battle_timeline").isNull()
+              | F.col("p2_lead_details").isNull())
+    if is_train:
+        absent = absent | F.col("player_won").isNull()
+    reason = (F.when(absent, F.lit("missing field"))
               .when(F.size("battle_timeline") == 0, F.lit("empty timeline"))
               .when(F.exists(tl, lambda t: t["slot"] == 0), F.lit("unknown active member"))
               .when(F.exists(team, lambda p: F.coalesce(F.size(p["types"]), F.lit(0)) < 2),

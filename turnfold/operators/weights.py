@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.ordering import broadcast_if_small
 
 WEIGHT_METHODS = ("inverse_frequency", "sqrt_inverse", "log_inverse", "min_max", "z_score")
 RENORMALISED = ("inverse_frequency", "sqrt_inverse", "log_inverse")
@@ -104,26 +103,26 @@ def count_stats(counts: DataFrame, count_col: str = "count") -> dict:
     return r.asDict()
 
 
+def _rescaled(c: Column, origin: float | None, unit: float | None, flat: float) -> Column:
+    """``(c - origin) / unit``; a constant where the counts do not differ."""
+    return (c - F.lit(float(origin))) / F.lit(float(unit)) if unit else F.lit(flat)
+
+
+#: Weight of a count, given the statistics of all counts.
+WEIGHTS = {
+    "inverse_frequency": lambda c, s: 1.0 / c,
+    "sqrt_inverse": lambda c, s: 1.0 / F.sqrt(c),
+    "log_inverse": lambda c, s: 1.0 / F.log(c + 1.0),
+    "min_max": lambda c, s: _rescaled(c, s["min"], s["max"] - s["min"], 1.0),
+    "z_score": lambda c, s: _rescaled(c, s["mean"], s["sd"], 0.0),
+}
+
+
 def weight_expr(method: str, stats: dict, count_col: str = "count") -> Column:
     """E4-E8 before re-normalisation."""
-    c = F.col(count_col).cast("double")
-    if method == "inverse_frequency":
-        return F.lit(1.0) / c
-    if method == "sqrt_inverse":
-        return F.lit(1.0) / F.sqrt(c)
-    if method == "log_inverse":
-        return F.lit(1.0) / F.log(c + F.lit(1.0))
-    if method == "min_max":
-        lo, hi = stats["min"], stats["max"]
-        if hi == lo:
-            return F.lit(1.0)
-        return (c - F.lit(float(lo))) / F.lit(float(hi - lo))
-    if method == "z_score":
-        sd = stats["sd"] or 0.0
-        if sd == 0:
-            return F.lit(0.0)
-        return (c - F.lit(float(stats["mean"]))) / F.lit(float(sd))
-    raise ValueError(f"Unknown normalization method: {method}")
+    if method not in WEIGHTS:
+        raise ValueError(f"no weight method {method!r}; there are {', '.join(WEIGHTS)}")
+    return WEIGHTS[method](F.col(count_col).cast("double"), stats)
 
 
 def normalise_counts(counts: DataFrame, method: str = "inverse_frequency",
@@ -146,16 +145,14 @@ def normalise_counts(counts: DataFrame, method: str = "inverse_frequency",
 
 
 def attach_weights(members: DataFrame, weights: DataFrame, fields: Sequence[str],
-                   weight_col: str = "sample_weight", default: float = 1.0,
-                   max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                   weight_col: str = "sample_weight", default: float = 1.0) -> DataFrame:
     """Weight of every member by its content key (computed on the
     original fields, so re-applying does not change the key), default 1.0.
 
-    The weight table has one row per distinct key; it is broadcast only
-    after its size is checked, otherwise joined by shuffle."""
+    The weight table has one row per distinct key; the planner picks the
+    join from its size in bytes."""
     keyed = members.withColumn("_tf_key", content_key(members, fields))
     w = weights.select(F.col("key").alias("_tf_key"), F.col("weight").alias("_tf_w"))
-    w = broadcast_if_small(w, max_broadcast_rows)
     out = keyed.join(w, "_tf_key", "left")
     return out.withColumn(weight_col, F.coalesce(F.col("_tf_w"), F.lit(default))) \
               .drop("_tf_key", "_tf_w")

@@ -148,7 +148,9 @@ def q_move_slots(spark, sf_dir):
     ev = events(spark, sf_dir)
     first = TL.first_use_moves(ev, "user_id", EVENT_ORDER, "event_type", event_move(),
                                use_order=False)
-    slots = TL.move_slots(first, "user_id", "event_type", EVENT_ORDER)
+    rosters = ev.select("user_id").distinct().withColumn(
+        "event_type", F.explode(F.array(*[F.lit(m) for m in EVENT_ROSTER])))
+    slots = TL.move_slots(first, "user_id", "event_type", EVENT_ORDER, members=rosters)
     # D8 move numerics: power = k, accuracy = value of the first use, cat by
     # a case-sensitive category test; padding slots are zeros
     acc = ev.select(F.col("event_id").alias("first_event_id"), F.col("value").alias("_acc"))
@@ -381,10 +383,14 @@ def q_class_frequency(spark, sf_dir):
 @register("class_counts")
 def q_class_counts(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    labels = WT.class_counts(o, F.col("o_orderstatus") == "F")
-    r = roster(spark, sf_dir).agg(F.count(F.lit(1)).cast("long").alias("members"),
-                                  F.count_distinct("l_orderkey").cast("long").alias("matches"))
-    return labels.join(r)   # two one-row aggregates side by side
+    return WT.class_counts(o, F.col("o_orderstatus") == "F")
+
+
+@register("roster_counts")
+def q_roster_counts(spark, sf_dir):
+    r = roster(spark, sf_dir)
+    return r.agg(F.count(F.lit(1)).cast("long").alias("members"),
+                 F.count_distinct("l_orderkey").cast("long").alias("matches"))
 
 
 def _weights_query(method):
@@ -669,7 +675,7 @@ def q_logreg_lineitem(spark, sf_dir):
         sc = TR.fit_exact_scaler(cached, "features", "scaled")
         train, _ = _train_part(sc.transform(cached), "l_orderkey")
         n = train.count()
-        m = MD.logistic(n, max_iter=100, features_col="scaled").fit(train)
+        m = MD.logistic(n, features_col="scaled").fit(train)
     finally:
         cached.unpersist()
     out = m.transform(sc.transform(li))
@@ -682,7 +688,7 @@ def q_logreg_lineitem(spark, sf_dir):
 def q_forest(spark, sf_dir):
     e = embedding_frame(spark, sf_dir)
     train, _ = _train_part(e, "vec_id")
-    m = MD.random_forest(num_trees=20).fit(train)
+    m = MD.random_forest().fit(train)
     return _score(m.transform(e), MD.positive_probability("rf_probability"), 0.45)
 
 
@@ -690,7 +696,7 @@ def q_forest(spark, sf_dir):
 def q_single_forest(spark, sf_dir):
     e = embedding_frame(spark, sf_dir)
     train, _ = _train_part(e, "vec_id")
-    m = MD.random_forest(num_trees=20, max_depth=20, min_instances=2).fit(train)
+    m = MD.random_forest(max_depth=20, min_instances=2).fit(train)
     return _score(m.transform(e), MD.positive_probability("rf_probability"), 0.5)
 
 
@@ -698,7 +704,7 @@ def q_single_forest(spark, sf_dir):
 def q_random_cut(spark, sf_dir):
     e = embedding_frame(spark, sf_dir)
     train, _ = _train_part(e, "vec_id")
-    m = MD.RandomCutForest(num_trees=20, groups=2).fit(train)
+    m = MD.RandomCutForest().fit(train)
     return _score(m.transform(e), F.col("et_p1"), 0.45)
 
 

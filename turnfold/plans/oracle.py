@@ -90,7 +90,8 @@ f AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, move ORDER BY ts, event
 firsts AS (SELECT * FROM f WHERE rn = 1),
 ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id, move) move_slot
            FROM firsts),
-members AS (SELECT DISTINCT user_id, event_type FROM firsts),
+members AS (SELECT u.user_id, r.member AS event_type FROM (SELECT DISTINCT user_id FROM events) u
+            CROSS JOIN {_ROSTER}),
 slots AS (SELECT m.user_id, m.event_type, s.move_slot FROM members m
           CROSS JOIN (VALUES (1),(2),(3),(4)) s(move_slot))
 SELECT s.user_id, s.event_type, CAST(s.move_slot AS INTEGER) move_slot,
@@ -283,9 +284,12 @@ FROM part GROUP BY 1
 ORACLE["class_counts"] = """
 SELECT (SELECT CAST(COUNT(*) AS BIGINT) FROM orders) total,
        (SELECT CAST(COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS BIGINT) FROM orders) wins,
-       (SELECT CAST(COUNT(*) FILTER (WHERE o_orderstatus <> 'F') AS BIGINT) FROM orders) losses,
-       (SELECT CAST(COUNT(*) AS BIGINT) FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey) members,
-       (SELECT CAST(COUNT(DISTINCT l_orderkey) AS BIGINT) FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey) matches
+       (SELECT CAST(COUNT(*) FILTER (WHERE o_orderstatus <> 'F') AS BIGINT) FROM orders) losses
+"""
+
+ORACLE["roster_counts"] = """
+SELECT CAST(COUNT(*) AS BIGINT) members, CAST(COUNT(DISTINCT l_orderkey) AS BIGINT) matches
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 """
 
 _W = {
@@ -419,10 +423,11 @@ b0 AS (SELECT s.y, s.p, r.lo, r.hi, r.n, (r.hi - r.lo) / 50.0 step,
 b1 AS (SELECT *, CASE WHEN p < (CASE WHEN i0 >= 50 THEN hi ELSE i0 * step + lo END) THEN i0 - 1 ELSE i0 END i1 FROM b0),
 b2 AS (SELECT *, CASE WHEN i1 <> 49 AND p >= (CASE WHEN i1 + 1 >= 50 THEN hi ELSE (i1 + 1) * step + lo END)
                       THEN i1 + 1 ELSE i1 END bin FROM b1)
-SELECT y, CAST(bin AS INTEGER) bin, CAST(COUNT(*) AS BIGINT) count,
-       ROUND(MIN(lo) + bin * ((MIN(hi) - MIN(lo)) / 50.0), 6) bin_start,
-       ROUND(COUNT(*) / (MIN(n) * ((MIN(hi) - MIN(lo)) / 50.0)), 6) density
-FROM b2 GROUP BY y, bin
+SELECT r.y, CAST(g.i AS INTEGER) bin, CAST(COUNT(b2.y) AS BIGINT) count,
+       ROUND(r.lo + g.i * ((r.hi - r.lo) / 50.0), 6) bin_start,
+       ROUND(COUNT(b2.y) / (r.n * ((r.hi - r.lo) / 50.0)), 6) density
+FROM r CROSS JOIN range(50) g(i) LEFT JOIN b2 ON b2.y = r.y AND b2.bin = g.i
+GROUP BY r.y, r.lo, r.hi, r.n, g.i
 """
 
 _SWEEP = f"""{_SD},

@@ -40,11 +40,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this setting names a shared (HDFS/object-store) folder and
     is respected as is.  Only when it is unset -- local tests -- a private
     scratch folder is created and registered."""
+    sc = spark.sparkContext
+    set_by_caller = sc.getCheckpointDir()
+    if set_by_caller:
+        # Spark appends a folder of its own name to the one that was set
+        return set_by_caller.rsplit("/", 1)[0]
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="turnfold-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    sc.setCheckpointDir(current)
     return current
 
 

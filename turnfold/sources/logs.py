@@ -14,14 +14,11 @@ from ..functions.ordering import with_row_index
 CORRUPT = "_corrupt_record"
 
 
-def read_match_logs(spark: SparkSession, path: str, schema: T.StructType = S.MATCH_LOG,
-                    strict: bool = True) -> DataFrame:
-    """A1/A2: JSON lines with an explicit schema.  Blank lines are skipped;
-    with ``strict`` a malformed line fails the job (Spark names the file,
-    not the line -- :func:`read_with_rejects` locates bad records)."""
-    return (spark.read.schema(schema)
-            .option("mode", "FAILFAST" if strict else "DROPMALFORMED")
-            .json(path))
+def read_match_logs(spark: SparkSession, path: str, schema: T.StructType = S.MATCH_LOG) -> DataFrame:
+    """A1/A2: JSON lines with an explicit schema.  Blank lines are skipped; a
+    malformed line fails the job (Spark names the file, not the line --
+    :func:`read_with_rejects` keeps and counts bad records instead)."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def read_with_rejects(spark: SparkSession, path: str, schema: T.StructType = S.MATCH_LOG
@@ -48,14 +45,20 @@ def file_order(df: DataFrame) -> DataFrame:
 
 
 def with_position_id(df: DataFrame, id_col: str = "battle_id") -> DataFrame:
-    """A5: the record's own key when it has one; otherwise the 0-based index
-    of the record in file order (files by path), computed as a distributed
-    row index -- ``monotonically_increasing_id`` alone is not contiguous."""
+    """A5: the records' own keys if every record has one; otherwise, for all
+    records alike, the 0-based index in file order (files by path), computed
+    as a distributed row index -- ``monotonically_increasing_id`` alone is
+    not contiguous.  Keys that repeat are an error: ids join scores to labels."""
+    if id_col in df.columns:
+        seen = df.agg(F.count(F.lit(1)).alias("n"), F.count(id_col).alias("keyed")).first()
+        if seen["n"] == seen["keyed"]:
+            twice = df.groupBy(id_col).count().where(F.col("count") > 1).limit(1).collect()
+            if twice:
+                raise ValueError(f"{id_col} {twice[0][id_col]} stands for more than one record")
+            return df
     ordered = file_order(df)
     idx = with_row_index(ordered, ["_file", "_block", "_seq"], "_pos")
-    out = idx.withColumn(id_col, F.coalesce(F.col(id_col), F.col("_pos"))) if id_col in df.columns \
-        else idx.withColumn(id_col, F.col("_pos"))
-    return out.drop("_file", "_block", "_seq", "_pos")
+    return idx.withColumn(id_col, F.col("_pos")).drop("_file", "_block", "_seq", "_pos")
 
 
 def require_fields(df: DataFrame, fields: Sequence[str] = S.REQUIRED_FIELDS,
