@@ -154,10 +154,10 @@ def score_ensemble(spark: SparkSession, path: str, models_root: str, out_csv: st
         vote.threshold = threshold
     feats, rejects = match_feature_table(spark, path, is_train=False)
     scored = vote.transform(prep.transform(feats)).select("battle_id", "probability", "prediction")
-    n_in, n_out = feats.count(), scored.count()
-    SC.row_count_guard(n_in, n_out)
+    n_out, n_rejected = scored.count(), rejects.count()
+    SC.row_count_guard(LG.read_match_logs(spark, path).count(), n_out + n_rejected)
     SK.write_predictions(scored, out_csv)
-    info = {"run": run, "rows": n_out, "rejected": rejects.count(), "threshold": vote.threshold}
+    info = {"run": run, "rows": n_out, "rejected": n_rejected, "threshold": vote.threshold}
     SK.append_run_record(spark, models_root, prefix + "_predict", run, info)
     return info
 
@@ -174,10 +174,10 @@ def score_linear(spark: SparkSession, path: str, models_root: str, out_csv: str,
     SK.check_package(model, {"pca": PCAModel, "model": LogisticRegressionModel})
     feats, rejects = match_feature_table(spark, path, is_train=False)
     scored = SC.score(model, feats, "lr_probability", threshold)
-    n_in, n_out = feats.count(), scored.count()
-    SC.row_count_guard(n_in, n_out)
+    n_out, n_rejected = scored.count(), rejects.count()
+    SC.row_count_guard(LG.read_match_logs(spark, path).count(), n_out + n_rejected)
     SK.write_predictions(scored, out_csv)
-    info = {"run": run, "rows": n_out, "rejected": rejects.count(), "threshold": threshold}
+    info = {"run": run, "rows": n_out, "rejected": n_rejected, "threshold": threshold}
     if previous_csv:
         d = SC.prediction_diff(SK.read_predictions(spark, previous_csv),
                                SK.read_predictions(spark, out_csv)).first()

@@ -35,13 +35,14 @@ def state_aggregates(match: str, order: Sequence[str], member: str, value: str,
 def run_state_fold(spark: SparkSession, source_dir: str, file_glob: str, match: str,
                    order: Sequence[str], member: str, value: str, roster: Sequence[str],
                    fainted: Column, max_files_per_trigger: int = 1) -> DataFrame:
-    """Stream the turn rows of the parquet files matching ``file_glob`` in
+    """Stream the turn rows of the parquet table ``file_glob`` in
     ``source_dir`` through the stateful fold until all available input is
     processed; each micro-batch writes the complete state table to a
     parquet folder under the shared checkpoint folder, which is returned."""
-    schema = spark.read.option("pathGlobFilter", file_glob).parquet(source_dir).schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-              .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir))
+    source = f"{source_dir.rstrip('/')}/{file_glob}"  # a file, a folder of part files, or a pattern
+    schema = spark.read.parquet(source).schema
+    stream = (spark.readStream.schema(schema)
+              .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source))
     folded = stream.groupBy(match).agg(*state_aggregates(match, order, member, value, roster,
                                                          fainted))
     out = scratch_path(spark, "state-fold")
