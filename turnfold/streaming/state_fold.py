@@ -39,9 +39,12 @@ def run_state_fold(spark: SparkSession, source_dir: str, file_glob: str, match:
     ``source_dir`` through the stateful fold until all available input is
     processed; each micro-batch writes the complete state table to a
     parquet folder under the shared checkpoint folder, which is returned."""
-    source = f"{source_dir.rstrip('/')}/{file_glob}"  # a file, a folder of part files, or a pattern
+    source, pattern = f"{source_dir.rstrip('/')}/{file_glob}", "*.parquet"
     schema = spark.read.parquet(source).schema
-    stream = (spark.readStream.schema(schema)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", file_glob).load(source_dir).select("path")
+    if not listed.isEmpty():  # the table is a file; a stream reads folders
+        source, pattern = source_dir, file_glob
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", pattern)
               .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source))
     folded = stream.groupBy(match).agg(*state_aggregates(match, order, member, value, roster,
                                                          fainted))
