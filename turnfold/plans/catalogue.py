@@ -1025,3 +1025,6 @@ def q_streaming_state_fold(spark, sf_dir):
     return out.select("user_id", "turns", "alive", "discovered_alive",
                       _r("leader_value").alias("leader_value"),
                       *[_r(f"hp_{m}").alias(f"hp_{m}") for m in EVENT_ROSTER])
+
+
+from . import nested_queries  # noqa: E402,F401  (registers its queries)
