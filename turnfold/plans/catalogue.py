@@ -25,6 +25,7 @@ from collections.abc import Callable
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import nested as NS
 from ..functions.ordering import with_row_index
@@ -37,6 +38,7 @@ from ..operators import timeline as TL
 from ..operators import transform as TR
 from ..operators import weights as WT
 from ..session import scratch_path
+from ..sources import logs as LG
 from ..sources import sinks as SK
 from ..sources.tables import table
 
@@ -265,10 +267,11 @@ def q_one_hot_status(spark, sf_dir):
 
 @register("multi_hot_effects")
 def q_multi_hot(spark, sf_dir):
-    ev = events(spark, sf_dir)
-    return ev.groupBy("user_id").agg(*[
-        F.max((F.col("event_type") == v).cast("double")).alias("effect_" + v)
-        for v in EVENT_ROSTER])
+    from ..functions.onehot import multi_hot
+    # a set of at most as many entries as there are event types
+    seen = events(spark, sf_dir).groupBy("user_id").agg(F.collect_set("event_type").alias("effects"))
+    hot = multi_hot(F.col("effects"), EVENT_ROSTER)
+    return seen.select("user_id", *[c.alias("effect_" + v) for c, v in zip(hot, EVENT_ROSTER, strict=True)])
 
 
 @register("dual_type_one_hot")
@@ -790,9 +793,8 @@ def q_json_field(spark, sf_dir):
 
 @register("nested_path_explode")
 def q_nested_explode(spark, sf_dir):
-    ev = events(spark, sf_dir).select("event_id",
-                                      F.from_json("props", "map<string,bigint>").alias("m"))
-    return ev.select("event_id", F.explode("m").alias("key", "value"))
+    ev = events(spark, sf_dir).select("event_id", F.map_entries(F.from_json("props", "map<string,bigint>")).alias("m"))
+    return NS.unnest(ev, "m", keep=["event_id"]).select("event_id", "member.key", "member.value")
 
 
 @register("default_weight_projection")
@@ -809,23 +811,38 @@ def q_numeric_projection(spark, sf_dir):
     return NS.numeric_projection(li, ["l_orderkey", "l_partkey", "l_suppkey"])
 
 
-def damaged_props() -> Column:
-    """Records damaged in-query: error events cut to their first 5 chars
-    (malformed), signup events emptied to ``{}`` (field missing)."""
-    return (F.when(F.col("event_type") == "error", F.substring("props", 1, 5))
-             .when(F.col("event_type") == "signup", F.lit("{}"))
-             .otherwise(F.col("props")))
+def json_lines(df, line: Column, name: str) -> str:
+    """Writes ``line`` as text files below the shared folder; their path."""
+    path = scratch_path(df.sparkSession, name)
+    df.select(line.alias("value")).write.text(path)
+    return path
 
 
 @register("malformed_record_report")
 def q_malformed(spark, sf_dir):
-    ev = events(spark, sf_dir).select("event_id", damaged_props().alias("txt"))
-    parsed = ev.select("event_id", F.from_json(
-        "txt", "k bigint, _corrupt_record string",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"))
-    reason = (F.when(F.col("r._corrupt_record").isNotNull(), F.lit("malformed record"))
-               .when(F.col("r.k").isNull(), F.lit("missing field k")))
-    return parsed.select("event_id", reason.alias("reason")).where(F.col("reason").isNotNull())
+    """A3 and A12 over real lines: signups come without the field, errors as
+    log lines that are no JSON."""
+    k = F.get_json_object("props", "$.k").cast("long")
+    line = (F.when(F.col("event_type") == "error", F.concat(F.lit("error in event "), F.col("event_id").cast("string")))
+             .when(F.col("event_type") == "signup", F.to_json(F.struct("event_id")))
+             .otherwise(F.to_json(F.struct("event_id", k.alias("k")))))
+    path = json_lines(events(spark, sf_dir), line, "event-lines")
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("k", T.LongType())])
+    good, bad = LG.read_with_rejects(spark, path, schema)
+    _, lacking = LG.require_fields(good, ["k"], id_col="event_id")
+    damaged = bad.select(F.regexp_extract("record", "([0-9]+)$", 1).cast("long").alias("event_id"),
+                         F.lit("malformed record").alias("reason"))
+    return damaged.unionByName(lacking)
+
+
+@register("position_identity")
+def q_position_identity(spark, sf_dir):
+    """A5 over lines without keys: files in order of the order key."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    o = o.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey")
+    path = json_lines(o, F.to_json(F.struct("o_orderkey")), "order-lines")
+    schema = T.StructType([T.StructField("battle_id", T.LongType()), T.StructField("o_orderkey", T.LongType())])
+    return LG.with_position_id(LG.read_match_logs(spark, path, schema)).select("o_orderkey", "battle_id")
 
 
 @register("row_identity")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions import nested as NS
 from ..operators import features as FT
 from ..operators import timeline as TL
 from ..sources.tables import table
@@ -121,6 +122,15 @@ def q_rejects(spark, sf_dir):
     return TL.split_rejects(TL.fold_match_logs(match_records(spark, sf_dir)))[1].select("battle_id", "reject_reason")
 
 
+@register("nested_path_walk")
+def q_path_walk(spark, sf_dir):
+    """B1: the field of the first list element that has it; B2 leaves out
+    records without the path."""
+    df = match_records(spark, sf_dir)
+    walked = df.withColumn("first_move", NS.path_walk(df, ["battle_timeline", "p1_move_details", "name"]))
+    return NS.skip_missing(walked, "first_move").select("battle_id", "first_move")
+
+
 def _list(words: list[str]) -> str:
     return "[" + ", ".join(f"'{w}'" for w in words) + "]"
 
@@ -198,5 +208,10 @@ names AS (SELECT unnest({_list(S.feature_names())}) feature, unnest(range({S.FEA
 SELECT CAST(n.position AS INTEGER) position, n.feature,
        ROUND(CAST(COALESCE(SUM(CAST(val AS DOUBLE)), 0) AS DOUBLE) / (SELECT count(*) FROM v), 6) AS mean
 FROM names n LEFT JOIN f ON f.position = n.position GROUP BY n.position, n.feature"""
+ORACLE["nested_path_walk"] = f"""
+WITH k AS (SELECT vec_id, i, CAST(FLOOR(ABS(CAST(embedding[i + 1] AS DOUBLE)) * 10000.0) AS BIGINT) k
+           FROM embeddings, range({TURNS}) r(i) WHERE vec_id % 19 <> 0)
+SELECT vec_id battle_id, 'v' || (k % 9) first_move FROM k WHERE k % 4 <> 0
+QUALIFY ROW_NUMBER() OVER (PARTITION BY vec_id ORDER BY i) = 1"""
 ORACLE["nested_rejects"] = f"""
 SELECT vec_id battle_id, {_REASON} reject_reason FROM embeddings WHERE {_REASON} IS NOT NULL"""

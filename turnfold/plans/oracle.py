@@ -523,11 +523,12 @@ SELECT l_discount, l_extendedprice, l_linenumber, l_quantity, l_tax FROM lineite
 """
 
 ORACLE["malformed_record_report"] = """
-WITH d AS (SELECT event_id, CASE WHEN event_type = 'error' THEN substr(props, 1, 5)
-                                 WHEN event_type = 'signup' THEN '{}' ELSE props END txt FROM events)
-SELECT event_id, CASE WHEN NOT json_valid(txt) THEN 'malformed record'
-                      WHEN json_extract(txt, '$.k') IS NULL THEN 'missing field k' END reason
-FROM d WHERE NOT json_valid(txt) OR json_extract(txt, '$.k') IS NULL
+SELECT event_id, CASE WHEN event_type = 'error' THEN 'malformed record' ELSE 'missing field k' END reason
+FROM events WHERE event_type IN ('error', 'signup') OR json_extract(props, '$.k') IS NULL
+"""
+
+ORACLE["position_identity"] = """
+SELECT o_orderkey, CAST(ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) battle_id FROM orders
 """
 
 ORACLE["row_identity"] = """
