@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from .evaluate import predict_at
 
+MAX_BINS = 256  # histogram bins of a feature, for every tree learner
+
 
 def positive_probability(prob_col: str) -> Column:
     """H7: P(class 1) out of a probability vector."""
@@ -48,7 +50,7 @@ def logistic(n_train: int, C: float = 1.0, max_iter: int = 1000, features_col: s
 
 def random_forest(num_trees: int = 200, max_depth: int = 10, min_instances: int = 8,
                   seed: int = 42, features_col: str = "features", label_col: str = "label",
-                  prefix: str = "rf", weight_col: str | None = None, max_bins: int = 256
+                  prefix: str = "rf", weight_col: str | None = None, max_bins: int = MAX_BINS
                   ) -> RandomForestClassifier:
     """H2: 200 trees, depth 10, leaf >= 8 (which implies split >= 15),
     sqrt features, seed 42.  K14 is the same learner with depth 20 / leaf 2."""
@@ -65,14 +67,15 @@ def random_forest(num_trees: int = 200, max_depth: int = 10, min_instances: int
 def gbt(max_iter: int = 100, max_depth: int = 4, step: float = 0.03, subsample: float = 0.65,
         min_instances: int = 8, seed: int = 42, features_col: str = "features",
         label_col: str = "label", prefix: str = "gbt", feature_subset: str = "all",
-        min_info_gain: float = 0.0, weight_col: str | None = None) -> GBTClassifier:
+        min_info_gain: float = 0.0, weight_col: str | None = None,
+        max_bins: int = MAX_BINS) -> GBTClassifier:
     """H4 (and H5 with ``feature_subset='0.7'``, ``max_iter=150`` and
     ``min_info_gain`` standing in for gamma; column sampling is per node in
     Spark, per tree in the reference)."""
     g = GBTClassifier(featuresCol=features_col, labelCol=label_col, maxIter=max_iter,
                       maxDepth=max_depth, stepSize=step, subsamplingRate=subsample,
                       minInstancesPerNode=min_instances, seed=seed,
-                      featureSubsetStrategy=feature_subset, minInfoGain=min_info_gain,
+                      featureSubsetStrategy=feature_subset, minInfoGain=min_info_gain, maxBins=max_bins,
                       predictionCol=f"{prefix}_prediction")
     g.setProbabilityCol(f"{prefix}_probability").setRawPredictionCol(f"{prefix}_raw")
     if weight_col:
@@ -377,12 +380,13 @@ class NewtonBooster:
                  subsample: float = 0.65, colsample: float = 0.7, min_child_weight: float = 8.0,
                  alpha: float = 0.3, lam: float = 2.0, seed: int = 42,
                  features_col: str = "features", label_col: str = "label", id_col: str = "id",
-                 prefix: str = "xgb", checkpoint_every: int = 10):
+                 prefix: str = "xgb", checkpoint_every: int = 10, max_bins: int = MAX_BINS):
         self.__dict__.update(dict(rounds=rounds, max_depth=max_depth, eta=eta,
                                   subsample=subsample, colsample=colsample,
                                   min_child_weight=min_child_weight, alpha=alpha, lam=lam,
                                   seed=seed, features_col=features_col, label_col=label_col,
-                                  id_col=id_col, prefix=prefix, checkpoint_every=checkpoint_every))
+                                  id_col=id_col, prefix=prefix, checkpoint_every=checkpoint_every,
+                                  max_bins=max_bins))
 
     def fit(self, df: DataFrame) -> NewtonBoosterModel:
         import math
@@ -422,7 +426,7 @@ class NewtonBooster:
             tree = DecisionTreeRegressor(
                 featuresCol=x, labelCol="_t", weightCol="_h", maxDepth=self.max_depth if least < 0.5 else 0,
                 minWeightFractionPerNode=least if least < 0.5 else 0.0,
-                seed=self.seed + r, maxBins=32, predictionCol=f"_{self.prefix}_pr",
+                seed=self.seed + r, maxBins=self.max_bins, predictionCol=f"_{self.prefix}_pr",
                 leafCol=f"_{self.prefix}_leaf").fit(step)
             sums = (tree.transform(step).groupBy(f"_{self.prefix}_leaf")
                     .agg(F.sum("_g").alias("G"), F.sum("_h").alias("H")).collect())

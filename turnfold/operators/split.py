@@ -58,12 +58,12 @@ def top_feature_indices(importances: Sequence[float], n_features: int) -> list[i
 
 def select_top_features(train: DataFrame, features_col: str = "features", label_col: str = "label",
                         n_features: int = 300, num_trees: int = 50, max_depth: int = 10,
-                        seed: int = 42, output_col: str = "selected"):
+                        seed: int = 42, output_col: str = "selected", max_bins: int = 256):
     """A forest on the training part ranks the features; returns
     ``(VectorSlicer, indices, forest model)``.  The slicer is applied at
     scoring time after scaling."""
     rf = RandomForestClassifier(featuresCol=features_col, labelCol=label_col, numTrees=num_trees,
-                                maxDepth=max_depth, seed=seed)
+                                maxDepth=max_depth, seed=seed, maxBins=max_bins)
     model = rf.fit(train)
     idx = top_feature_indices(model.featureImportances.toArray(), n_features)
     slicer = VectorSlicer(inputCol=features_col, outputCol=output_col, indices=idx)
