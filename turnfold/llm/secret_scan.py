@@ -48,23 +48,30 @@ _BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 _W = "_scan_"
 
 
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` bound to ``value``.  A column that a lambda names
+    may be put in its place by the optimiser and then be worked out for each
+    element; a bound variable is worked out once a row."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
 def _matches(df: DataFrame, name: str, pattern: str, maybe) -> DataFrame:
     """Columns ``m`` (matches) and ``at`` (their starts) of a pattern.  The
     pieces between the matches give the starts: sums of lengths, kept linear
     for texts with very many matches by sums over blocks of 64."""
-    m, g, size, block = (f"{_W}{name}_{x}" for x in ("m", "g", "len", "sum"))
+    m, g = f"{_W}{name}_m", f"{_W}{name}_g"
     none = F.array().cast("array<string>")
     text = F.col(_W + "text")
     df = df.withColumn(m, F.when(maybe, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none))
     df = df.withColumn(g, F.when(F.size(m) > 0, F.split(text, pattern, -1)).otherwise(none))
-    df = df.withColumn(size, F.expr(f"zip_with({m}, slice({g}, 1, size({m})), (x, y) -> char_length(x) + char_length(y))"))
-    df = df.withColumn(block, F.expr(
-        f"transform(sequence(0, cast(size({size}) div 64 as int)), "
-        f"b -> aggregate(slice({size}, b * 64 + 1, 64), 0, (a, x) -> a + x))"))
-    return df.withColumn(f"{_W}{name}_at", F.expr(
-        f"transform({m}, (x, i) -> aggregate(slice({block}, 1, cast(i div 64 as int)), 0, (a, v) -> a + v)"
-        f" + aggregate(slice({size}, cast(i div 64 as int) * 64 + 1, i % 64), 0, (a, v) -> a + v)"
-        f" + char_length({g}[i]))")).drop(size, block, g)
+    starts = _let(f"named_struct('m', {m}, 'g', {g})", "p", _let(
+        "named_struct('g', p.g, 'n', zip_with(p.m, slice(p.g, 1, size(p.m)), (x, y) -> char_length(x) + char_length(y)))", "q",
+        _let("named_struct('g', q.g, 'n', q.n, 'b', transform(sequence(0, cast(size(q.n) div 64 as int)), "
+             "k -> aggregate(slice(q.n, k * 64 + 1, 64), 0, (a, x) -> a + x)))", "r",
+             "transform(r.n, (x, i) -> aggregate(slice(r.b, 1, cast(i div 64 as int)), 0, (a, v) -> a + v)"
+             " + aggregate(slice(r.n, cast(i div 64 as int) * 64 + 1, i % 64), 0, (a, v) -> a + v)"
+             " + char_length(r.g[i]))")))
+    return df.withColumn(f"{_W}{name}_at", F.expr(starts)).drop(g)
 
 
 def _spans(name: str, order: int) -> str:
@@ -130,12 +137,14 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     df = _matches(df, "access", ACCESS, t.contains("AKIA"))
     df = _matches(df, "hex", HEX, F.lit(True))
     df = _matches(df, "token", TOKEN, F.lit(True))
-    long_value = f"filter({_spans('assign', 0)}, (s, i) -> char_length({_W}values[i]) >= 6)"
+    long_value = _let(f"named_struct('s', {_spans('assign', 0)}, 'v', {_W}values)", "p",
+                      "filter(p.s, (s, i) -> char_length(p.v[i]) >= 6)")
     df = df.withColumn(_W + "base", F.expr(f"array_sort(concat({long_value}, {_spans('access', 1)}, {_spans('hex', 2)}))"))
     # letters alone, as long words of prose are, need 32 to say anything
-    tokens = (f"filter(zip_with({_W}token_at, {_W}token_m, (s, x) -> named_struct('start', s, 'stop', s + char_length(x), 't', x)), "
-              f"c -> (char_length(c.t) >= 32 OR c.t RLIKE '[0-9]') AND NOT c.t RLIKE '^(.)\\\\1*$' "
-              f"AND NOT exists({_W}base, b -> b.start < c.stop AND c.start < b.stop))")
+    found = (f"zip_with({_W}token_at, {_W}token_m, (s, x) -> named_struct('start', s, 'stop', s + char_length(x), 't', x))")
+    tokens = _let(f"named_struct('c', {found}, 'base', {_W}base)", "p",
+                  "filter(p.c, c -> (char_length(c.t) >= 32 OR c.t RLIKE '[0-9]') AND NOT c.t RLIKE '^(.)\\\\1*$' "
+                  "AND NOT exists(p.base, b -> b.start < c.stop AND c.start < b.stop))")
     df = df.withColumn(_W + "plain", F.expr(tokens))
     df = df.withColumn(_W + "tokens", F.expr(_battery(_W + "plain")))
     made = [f"{_W}{n}_{x}" for n in ("assign", "access", "hex", "token") for x in ("m", "at")]
