@@ -31,7 +31,7 @@ from .textops import text_slices
 BUCKETS = 1 << 15
 GRAMS = (1, 2, 3, 4)
 AMBIGUOUS = 0.1
-SLICE = 1 << 20  # bytes of text whose n-grams a task holds at once
+SLICE = 1 << 18  # bytes of text whose n-grams a task holds at once
 UNKNOWN = "und"
 
 _LETTER = np.full(256, 32, np.uint8)
