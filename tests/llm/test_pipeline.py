@@ -23,7 +23,13 @@ def outputs(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     extra = docs.limit(1).select((F.lit(10_000) + F.col("doc_id")).alias("doc_id"), F.lit("123 456 !!").alias("text"),
                                  "lang", "source", "n_chars")
-    out = [docs.union(extra)]
+    # a text of its own, with a secret in it
+    backwards = F.concat_ws(" ", F.reverse(F.split("text", " ")))
+    secret = docs.where("length(text) > 800").orderBy("doc_id").limit(3).select(
+        (F.lit(20_000) + F.col("doc_id")).alias("doc_id"),
+        F.concat(backwards, F.lit(' token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde" end')).alias("text"),
+        "lang", "source", "n_chars")
+    out = [docs.union(extra).union(secret)]
     for name, stage in corpus_pipeline.STAGES:
         out.append(written(stage(spark, out[-1], SF), f"test-{name}"))
     return out
@@ -38,7 +44,7 @@ def test_language_stage_drops_unknown_only(outputs):
     judged = langid.identify(outputs[0]).collect()
     stay = {r["doc_id"] for r in judged if r["lang_pred"] != "und" and not r["ambiguous"]}
     kept = {r["doc_id"] for r in outputs[1].collect()}
-    assert kept == stay and 10_000 not in kept and len(kept) >= 0.98 * (outputs[0].count() - 1)
+    assert kept == stay and 10_000 not in kept and len(kept) >= 0.98 * (outputs[0].count() - 4)
 
 
 def test_duplicates_stage(outputs):
