@@ -36,6 +36,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.newline = newline[0] if len(newline) == 1 else None
         self._forget()
 
     def _forget(self) -> None:
@@ -45,12 +47,27 @@ class Encoder:
         self.length = np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def _learn(self, pieces: list[str]) -> None:
-        for lo in range(0, len(pieces), 4096):
-            part = pieces[lo:lo + 4096]
+    def _ids(self, part: list[str], as_lines: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and lengths.  Pieces with at most one blank, in front, can
+        be encoded as lines of one text: a newline before a blank or a word is
+        a token of its own, and none is inside such a piece."""
+        if not as_lines:
             got = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             sizes = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter((i for ids in got for i in ids), np.uint32, int(sizes.sum()))
+            return np.fromiter((i for ids in got for i in ids), np.uint32, int(sizes.sum())), sizes
+        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.append(np.flatnonzero(ids == self.newline), len(ids))
+        return ids[ids != self.newline], np.diff(ends, prepend=-1) - 1
+
+    def _learn(self, pieces: list[str]) -> None:
+        lines, others = [], []
+        for p in pieces:
+            single = self.newline is not None and "\n" not in p and not p.startswith("  ") and not p.endswith(" ")
+            (lines if single else others).append(p)
+        parts = [(lines[lo:lo + 512], True) for lo in range(0, len(lines), 512)]
+        parts += [(others[lo:lo + 4096], False) for lo in range(0, len(others), 4096)]
+        for part, as_lines in parts:
+            flat, sizes = self._ids(part, as_lines)
             first, need = len(self.table), self.used + len(flat)
             while need > len(self.pool):
                 self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
