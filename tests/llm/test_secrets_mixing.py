@@ -89,6 +89,51 @@ def test_battery_finds_random_keys_only(planted):
     assert sum(len(f) for i, f in found.items() if i not in keys) == 0
 
 
+ENCODINGS = {"hex": "0123456789ABCDEF", "base32": string.ascii_uppercase + "234567", "one case": string.ascii_lowercase + string.digits,
+             "base64": string.ascii_letters + string.digits + "+/"}
+
+
+@pytest.fixture(scope="module")
+def keys_of_all_kinds(spark):
+    """Prose with many ordinary tokens, and keys of each encoding and 20 to 64
+    characters among them."""
+    rng = random.Random(21)
+    docs = [r["text"] for r in spark.read.parquet(f"{SF_BIG}/documents.parquet").select("text").limit(600).collect()]
+    words = sorted({w for d in docs for w in re.findall("[a-z]{3,9}", d or "")})
+    wanted = [(kind, size) for kind in ENCODINGS for size in (20, 22, 24, 28, 32, 40, 64) for _ in range(6)]
+    rows, keys = [], {}
+    for i, d in enumerate(docs):
+        some = lambda n: [rng.choice(words) for _ in range(n)]
+        text = " ".join([d or "", "/" + "/".join(some(5)), "_".join(some(5)) + "_2", "".join(some(4)), "-".join(some(6)).upper(),
+                         f"2024{i % 12 + 1:02}{i % 28 + 1:02}{i % 24:02}{i % 60:02}00{i:08}", ""])
+        if i < len(wanted):
+            kind, size = wanted[i]
+            key = "".join(rng.choice(ENCODINGS[kind]) for _ in range(size))
+            keys[i] = (kind, size, f"random:{len(text)}:{len(text) + size}")
+            text += key
+        rows.append((i, text))
+    return spark.createDataFrame(rows, "doc_id long, text string"), keys
+
+
+def random_spans(frame):
+    scanned = secret_scan.scan(frame)
+    rows = secret_scan.digest(secret_scan.with_spans(scanned, secret_scan.discovery_bounds(scanned))).collect()
+    return {r["doc_id"]: [s for s in r["spans"].split(",") if s.startswith("random")] for r in rows}
+
+
+def test_battery_finds_keys_of_every_encoding_and_length(keys_of_all_kinds):
+    frame, keys = keys_of_all_kinds
+    found = random_spans(frame)
+    for kind in ENCODINGS:
+        for lengths in ((20, 22, 24), (28, 32), (40, 64)):
+            own = [span in found[i] for i, (k, n, span) in keys.items() if k == kind and n in lengths]
+            assert sum(own) >= 0.8 * len(own), (kind, lengths, sum(own), len(own))
+    texts = dict(frame.collect())
+    wrong = [texts[i][int(a):int(b)] for i, f in found.items() for _, a, b in (s.split(":") for s in f)
+             if i not in keys or f"random:{a}:{b}" != keys[i][2]]
+    assert not wrong, wrong
+
+
 def test_redact(spark, planted, odd_rows, no_rows):
     frame, keys = planted
     before = dict(frame.collect())
