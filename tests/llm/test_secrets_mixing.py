@@ -134,6 +134,24 @@ def test_battery_finds_keys_of_every_encoding_and_length(keys_of_all_kinds):
     assert not wrong, wrong
 
 
+def test_battery_finds_short_keys_without_digits(spark):
+    """Keys of letters alone below 32 characters, and long words that are none."""
+    rng = random.Random(22)
+    docs = [r["text"] for r in spark.read.parquet(f"{SF_BIG}/documents.parquet").select("text").limit(300).collect()]
+    words = sorted({w for d in docs for w in re.findall("[a-z]{3,9}", d or "")})
+    rows, keys = [], {}
+    for i, d in enumerate(docs):
+        text = " ".join([d or "", "".join(rng.choice(words) for _ in range(4)), "".join(rng.choice(words).title() for _ in range(4)), ""])
+        if i < 40:
+            size = 20 + i % 12
+            keys[i] = f"random:{len(text)}:{len(text) + size}"
+            text += "".join(rng.choice(string.ascii_letters) for _ in range(size))
+        rows.append((i, text))
+    found = random_spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sum(keys[i] in found[i] for i in keys) >= 0.9 * len(keys)
+    assert not [s for i, f in found.items() for s in f if s != keys.get(i)]
+
+
 def test_redact(spark, planted, odd_rows, no_rows):
     frame, keys = planted
     before = dict(frame.collect())

@@ -201,10 +201,9 @@ def scan(docs: DataFrame, text: str = "text", pairs: dict[tuple[str, str], int]
     long_value = _let(f"named_struct('s', {_spans('assign', 0)}, 'v', {_W}values)", "p",
                       "filter(p.s, (s, i) -> char_length(p.v[i]) >= 6)")
     df = df.withColumn(_W + "base", F.expr(f"array_sort(concat({long_value}, {_spans('access', 1)}, {_spans('hex', 2)}))"))
-    # letters alone, as long words of prose are, need 32 to say anything
     found = (f"zip_with({_W}token_at, {_W}token_m, (s, x) -> named_struct('start', s, 'stop', s + char_length(x), 't', x))")
     tokens = _let(f"named_struct('c', {found}, 'base', {_W}base)", "p",
-                  "filter(p.c, c -> (char_length(c.t) >= 32 OR c.t RLIKE '[0-9]') AND NOT c.t RLIKE '^(.)\\\\1*$' "
+                  "filter(p.c, c -> NOT c.t RLIKE '^(.)\\\\1*$' "
                   "AND NOT exists(p.base, b -> b.start < c.stop AND c.start < b.stop))")
     df = df.withColumn(_W + "plain", F.expr(tokens))
     df = df.withColumn(_W + "tokens", F.expr(_battery(_W + "plain", pairs)))
