@@ -32,6 +32,17 @@ def test_pieces_encode_as_whole_texts(encoder):
     assert [ids[e - k:e].tolist() for e, k in zip(ends, n)] == [w.ids for w in want]
 
 
+def test_added_tokens_as_by_the_library(encoder):
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(tokenizer_path())
+    texts = ["x <|endoftext|> y", "a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|>\n<|endoftext|> <|endoftext| >", "plain words", ""]
+    ids, n = encoder.encode(texts)
+    ends = np.cumsum(n)
+    assert [ids[e - k:e].tolist() for e, k in zip(ends, n)] == [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids[:n[0]].tolist() == [87, 220, 50256, 331]
+
+
 def test_encoder_forgets_when_full(encoder, monkeypatch):
     import turnfold.llm.idtokens as m
 

@@ -3,7 +3,9 @@
 The byte-level tokenizer never joins a character and the space or newline
 after it into one token.  A text is therefore cut there, each distinct piece
 is encoded once (a bounded table per worker remembers them), and the ids are
-put together again.  Texts with other white space are encoded in one go.
+put together again.  Texts with other white space, or with the text of an
+added token (it becomes that token, as by the library's default), are encoded
+in one go.
 """
 
 from __future__ import annotations
@@ -35,7 +37,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()}, key=len, reverse=True)
+        self.whole = re.compile("|".join([_OTHER_SPACE.pattern, *map(re.escape, added)]))
         newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.newline = newline[0] if len(newline) == 1 else None
         self._forget()
@@ -87,7 +90,7 @@ class Encoder:
         counts = np.zeros(len(texts), np.int64)
         whole = {}
         for i, text in enumerate(texts):
-            if _OTHER_SPACE.search(text):
+            if self.whole.search(text):
                 whole[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
                 continue
             found = _PIECE.findall(text)
