@@ -648,7 +648,7 @@ def _train_part(df: DataFrame, key: str, fraction: float = 0.15) -> tuple[DataFr
 @register("feature_selection")
 def q_feature_selection(spark, sf_dir):
     train, _ = _train_part(embedding_frame(spark, sf_dir), "vec_id")
-    slicer, idx, model = SP.select_top_features(train, n_features=16, num_trees=20, max_depth=5)
+    slicer, idx, model = SP.select_top_features(train)
     imp = model.featureImportances.toArray()
     rows = [(r + 1, int(i), EMB_NAMES[i], float(imp[i])) for r, i in enumerate(idx)]
     return spark.createDataFrame(rows, "rank int, index int, feature string, importance double")
@@ -715,7 +715,7 @@ def q_random_cut(spark, sf_dir):
 def q_gbt(spark, sf_dir):
     e = embedding_frame(spark, sf_dir)
     train, _ = _train_part(e, "vec_id")
-    m = MD.gbt(max_iter=10).fit(train)
+    m = MD.gbt().fit(train)
     return _score(m.transform(e), MD.positive_probability("gbt_probability"), 0.45)
 
 
@@ -723,7 +723,7 @@ def q_gbt(spark, sf_dir):
 def q_xgb(spark, sf_dir):
     e = embedding_frame(spark, sf_dir)
     train, _ = _train_part(e, "vec_id")
-    m = MD.NewtonBooster(rounds=10, id_col="vec_id").fit(train)
+    m = MD.NewtonBooster(id_col="vec_id").fit(train)
     return _score(m.transform(e), F.col("xgb_p1"), 0.45)
 
 
@@ -731,17 +731,17 @@ def q_xgb(spark, sf_dir):
 def q_xgb_gbt(spark, sf_dir):
     e = embedding_frame(spark, sf_dir)
     train, _ = _train_part(e, "vec_id")
-    m = MD.regularised_gbt(max_iter=10).fit(train)
+    m = MD.regularised_gbt().fit(train)
     return _score(m.transform(e), MD.positive_probability("xgb_probability"), 0.45)
 
 
 def _ensemble(spark, sf_dir):
     e = embedding_frame(spark, sf_dir)
     train, _ = _train_part(e, "vec_id")
-    members = [("rf", MD.random_forest(num_trees=20)),
-               ("et", MD.RandomCutForest(num_trees=20, groups=2, prefix="et")),
-               ("gbt", MD.gbt(max_iter=10)),
-               ("xgb", MD.NewtonBooster(rounds=10, id_col="vec_id"))]
+    members = [("rf", MD.random_forest()),
+               ("et", MD.RandomCutForest(prefix="et")),
+               ("gbt", MD.gbt()),
+               ("xgb", MD.NewtonBooster(id_col="vec_id"))]
     return e, MD.fit_soft_vote(train, members, threshold=0.45)
 
 
@@ -765,17 +765,17 @@ def q_soft_vote_mean(spark, sf_dir):
 @register("importance_topn")
 def q_importance_topn(spark, sf_dir):
     train, _ = _train_part(embedding_frame(spark, sf_dir), "vec_id")
-    m = MD.random_forest(num_trees=20).fit(train)
+    m = MD.random_forest().fit(train)
     return EV.importance_table(spark, m.featureImportances.toArray(), EMB_NAMES, top_n=20)
 
 
 @register("importance_mean")
 def q_importance_mean(spark, sf_dir):
     train, _ = _train_part(embedding_frame(spark, sf_dir), "vec_id")
-    slicer, idx, _ = SP.select_top_features(train, n_features=32, num_trees=20, max_depth=5)
+    slicer, idx, _ = SP.select_top_features(train)
     sel = slicer.transform(train)
-    members = [MD.random_forest(num_trees=10, features_col="selected", prefix="a").fit(sel),
-               MD.gbt(max_iter=5, features_col="selected", prefix="b").fit(sel)]
+    members = [MD.random_forest(features_col="selected", prefix="a").fit(sel),
+               MD.gbt(features_col="selected", prefix="b").fit(sel)]
     mean, labels = EV.mean_importance([m.featureImportances.toArray() for m in members],
                                       idx, EMB_NAMES)
     return EV.importance_table(spark, mean, labels, top_n=20)
@@ -941,7 +941,7 @@ def q_matchup(spark, sf_dir):
 @register("stacked_scores")
 def q_stacked(spark, sf_dir):
     e = embedding_frame(spark, sf_dir)
-    members = [("rf", MD.random_forest(num_trees=10, max_depth=5)), ("gbt", MD.gbt(max_iter=5))]
+    members = [("rf", MD.random_forest()), ("gbt", MD.gbt())]
     from ..operators.weights import hash_fold
     return MD.stacked_scores(e, members, hash_fold(["vec_id"], 3), 3, "vec_id")
 
@@ -962,7 +962,7 @@ def q_weighted(spark, sf_dir):
     counts = WT.content_count(e, ["label"])
     w = WT.normalise_counts(counts, "sqrt_inverse")
     e = WT.attach_weights(e, w, ["label"], weight_col="w")
-    m = MD.logistic(e.count(), max_iter=100, weight_col="w").fit(e)
+    m = MD.logistic(e.count(), weight_col="w").fit(e)
     p = MD.positive_probability("lr_probability")
     return m.transform(e).select("vec_id", "w", p.alias("probability"),
                                  EV.predict_at(p, 0.485).alias("prediction"))
@@ -996,8 +996,8 @@ def q_orders_linear(spark, sf_dir):
     try:
         n = cached.count()
         sc = TR.fit_exact_scaler(cached, "features", "scaled")
-        pca = TR.fit_pca(sc.transform(cached), "scaled", 50, output_col="pca", rows=n)
-        lr = MD.logistic(n, max_iter=200, features_col="pca")
+        pca = TR.fit_pca(sc.transform(cached), "scaled", 200, output_col="pca", rows=n)
+        lr = MD.logistic(n, features_col="pca")
         model = Pipeline(stages=[sc, pca, lr]).fit(cached)
     finally:
         cached.unpersist()
@@ -1016,15 +1016,12 @@ def q_orders_ensemble(spark, sf_dir):
     try:
         sc = TR.fit_exact_scaler(cached, "features", "scaled")
         z = sc.transform(cached)
-        slicer, idx, _ = SP.select_top_features(z, "scaled", n_features=60, num_trees=10,
-                                                max_depth=6)
+        slicer, idx, _ = SP.select_top_features(z, "scaled")
         prep = PipelineModel(stages=[sc, slicer])
-        members = [("rf", MD.random_forest(num_trees=20, features_col="selected")),
-                   ("et", MD.RandomCutForest(num_trees=20, groups=2, features_col="selected",
-                                             prefix="et")),
-                   ("gbt", MD.gbt(max_iter=10, features_col="selected")),
-                   ("xgb", MD.NewtonBooster(rounds=10, features_col="selected",
-                                            id_col="o_orderkey"))]
+        members = [("rf", MD.random_forest(features_col="selected")),
+                   ("et", MD.RandomCutForest(features_col="selected", prefix="et")),
+                   ("gbt", MD.gbt(features_col="selected")),
+                   ("xgb", MD.NewtonBooster(features_col="selected", id_col="o_orderkey"))]
         vote = MD.fit_soft_vote(prep.transform(cached), members, threshold=0.45)
     finally:
         cached.unpersist()
