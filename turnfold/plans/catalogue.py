@@ -839,7 +839,7 @@ def q_malformed(spark, sf_dir):
 def q_position_identity(spark, sf_dir):
     """A5 over lines without keys: files in order of the order key."""
     o = table(spark, sf_dir, "orders").select("o_orderkey")
-    o = o.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey")
+    o = o.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey")
     path = json_lines(o, F.to_json(F.struct("o_orderkey")), "order-lines")
     schema = T.StructType([T.StructField("battle_id", T.LongType()), T.StructField("o_orderkey", T.LongType())])
     return LG.with_position_id(LG.read_match_logs(spark, path, schema)).select("o_orderkey", "battle_id")
