@@ -37,8 +37,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()}, key=len, reverse=True)
-        self.whole = re.compile("|".join([_OTHER_SPACE.pattern, *map(re.escape, added)]))
+        self.added = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()})
         newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.newline = newline[0] if len(newline) == 1 else None
         self._forget()
@@ -90,7 +89,7 @@ class Encoder:
         counts = np.zeros(len(texts), np.int64)
         whole = {}
         for i, text in enumerate(texts):
-            if self.whole.search(text):
+            if _OTHER_SPACE.search(text) or any(a in text for a in self.added):
                 whole[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
                 continue
             found = _PIECE.findall(text)
