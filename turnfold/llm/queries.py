@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import brown, covertree, idfile, langid, minhash, mixing, packing, quality_fm, quality_rules, secret_scan
+from . import brown, collocations, covertree, idfile, langid, minhash, mixing, packing, quality_fm, quality_rules, secret_scan
 from .frames import table, written
 
 
@@ -55,10 +55,14 @@ def op10_brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_ids, op2_near_duplicates, op3_quality_rules, op4_quality_fm, op5_language_id, op6_secret_scan,
     op7_similar_vectors, op8_pack_sequences, op9_mix_sources,
-    op10_brown_scores)}
+    op10_brown_scores, op12_collocations)}
 
 ORACLE: dict[str, str] = {
     "op9_mix_sources": """
@@ -87,4 +91,28 @@ drawn AS (SELECT *, ('0x' || substr(md5('17|' || coalesce(source, '<null>') || '
 counted AS (SELECT *, CAST(floor(rate) + floor(u + i * part) - floor(u + (i - 1) * part) AS INTEGER) AS copies FROM drawn)
 SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(size * copies AS BIGINT) AS taken, CAST(copies AS INTEGER) AS copies
 FROM counted""",
+    "op12_collocations": """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+parts AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces),
+places AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM parts),
+runs AS (SELECT lang, words[i:i + k - 1] AS phrase FROM places, (SELECT unnest(range(1, 6)) AS k) AS sizes WHERE i + k - 1 <= len(words)),
+counts AS (SELECT lang, phrase, count(*) AS f FROM runs GROUP BY lang, phrase),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE len(phrase) = 1 GROUP BY lang),
+frequent AS (SELECT * FROM counts WHERE f >= 100),
+held AS (SELECT DISTINCT lang, unnest([phrase[:len(phrase) - 1], phrase[2:]]) AS phrase, f FROM frequent WHERE len(phrase) > 2),
+candidates AS (SELECT * FROM frequent ANTI JOIN held USING (lang, phrase, f) WHERE len(phrase) > 1),
+cuts AS (SELECT lang, phrase, f, unnest(range(1, len(phrase))) AS cut FROM candidates),
+scores AS (
+  SELECT c.lang, c.phrase, c.f AS a, c.cut, x.f AS l, y.f AS r, CAST(t.n AS BIGINT) AS n,
+         CAST((1000 * c.f::HUGEINT * t.n::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT) AS BIGINT) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.phrase[:cut]
+  JOIN counts y ON y.lang = c.lang AND y.phrase = c.phrase[cut + 1:] JOIN totals t ON t.lang = c.lang),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank,
+       array_to_string(phrase, ' ') AS phrase, a, l, r, n, score
+FROM lowest QUALIFY rank <= 2000""",
 }
