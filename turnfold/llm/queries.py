@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import brown, collocations, covertree, idfile, langid, minhash, mixing, packing, quality_fm, quality_rules, secret_scan
+from . import alignment, brown, collocations, covertree, idfile, langid, minhash, mixing, packing, quality_fm, quality_rules, secret_scan
 from .frames import table, written
 
 
@@ -59,10 +59,14 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_ids, op2_near_duplicates, op3_quality_rules, op4_quality_fm, op5_language_id, op6_secret_scan,
     op7_similar_vectors, op8_pack_sequences, op9_mix_sources,
-    op10_brown_scores, op12_collocations)}
+    op10_brown_scores, op12_collocations, op13_token_alignment)}
 
 ORACLE: dict[str, str] = {
     "op9_mix_sources": """
