@@ -304,7 +304,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     frequent = words.where(F.col("n") >= least)
     word_bits = bit_set(frequent)
-    pair_bits = bit_set(pair_counts(docs, word_bits).where(F.col("n") >= least))
+    pair_bits = bit_set(written(pair_counts(docs, word_bits).where(F.col("n") >= least), "pairs"))
     pointers = written(suffixes(docs, word_bits, pair_bits), "suffixes")
     phrases = written(phrase_counts(pointers, least, heavy, bucket), "phrases")
     singles = frequent.select(F.col("k").alias("k1"), *[F.lit(0).cast("long").alias(k) for k in KEYS[1:]], F.col("n").alias("a"))
