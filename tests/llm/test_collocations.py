@@ -60,8 +60,8 @@ def test_against_brute_force(spark):
 
 def test_odd_rows(spark, odd_rows, no_rows):
     rows = [(r["text"], r["lang"]) for r in odd_rows.collect()]
-    got = {tuple(r) for r in C.collocations(odd_rows, least=4).collect()}
-    assert got == brute(rows, 4, 2000) and got
+    got = {tuple(r) for r in C.collocations(odd_rows, least=3).collect()}
+    assert got == brute(rows, 3, 2000) and got
     assert C.collocations(no_rows).count() == 0
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import alignment, brown, collocations, covertree, idfile, langid, minhash, mixing, packing, quality_fm, quality_rules, secret_scan
+from . import alignment, brown, collocations, covertree, idfile, langid, minhash, mixing, packing, personal, quality_fm, quality_rules, secret_scan
 from .frames import table, written
 
 
@@ -55,6 +55,10 @@ def op10_brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.digest(personal.find(table(spark, sf_dir, "documents")))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -66,7 +70,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_token_ids, op2_near_duplicates, op3_quality_rules, op4_quality_fm, op5_language_id, op6_secret_scan,
     op7_similar_vectors, op8_pack_sequences, op9_mix_sources,
-    op10_brown_scores, op12_collocations, op13_token_alignment)}
+    op10_brown_scores, op11_personal_data, op12_collocations, op13_token_alignment)}
 
 ORACLE: dict[str, str] = {
     "op9_mix_sources": """
