@@ -34,10 +34,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import written
-from .idtokens import TOKENIZER, tokenizer_path
+from .idtokens import TOKENIZER, PieceMemory, distinct_pieces, spread, tokenizer_path
 
 PIECES = "piece_bpe_32k.model"
-BLOCK = 6 << 20  # characters of text whose links a task holds at once; a longer text is a block of its own
+BLOCK = 2 << 20  # characters of text whose links a task holds at once; a longer text is a block of its own
+SHIFT = 40  # bits of a document-end key that hold the byte
 ROW = ("block long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<long>")
 _OPEN: dict[tuple[str, str], tuple] = {}
 
@@ -51,18 +52,29 @@ def byte_level_alphabet() -> dict[str, int]:
 
 
 class Side:
-    """A tokenizer: ids of texts as one flat array with sizes, and the bytes
-    of every id."""
+    """A tokenizer: ids of texts, and the bytes of every id.  Neither side
+    joins a character and the blank after it, so distinct pieces are encoded
+    once (``idtokens.PieceMemory``)."""
 
-    def __init__(self, token_bytes: list[bytes]):
+    def __init__(self, token_bytes: list[bytes], fine: bool):
         self.bytes = pa.array(token_bytes, pa.large_binary())
         self.sizes = pc.binary_length(self.bytes).cast(pa.int64())
-
-    def lists(self, texts: list[str]) -> pa.Array:
-        got = self.ids(texts)
-        offsets = np.zeros(len(got) + 1, np.int32)
-        np.cumsum(np.fromiter(map(len, got), np.int32, len(got)), out=offsets[1:])
-        return pa.ListArray.from_arrays(offsets, pa.array(np.fromiter(chain.from_iterable(got), np.int32, int(offsets[-1]))))
+        self.memory, self.fine = PieceMemory(self.encode), fine
+        digits = max(len(str(len(token_bytes))), 1)
+        text = [str(i).rjust(digits) for i in range(len(token_bytes))]
+        self.decimal = np.frombuffer("".join(text).encode(), np.uint8).reshape(-1, digits)
+
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = self.ids(pieces)
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.uint32, int(sizes.sum())), sizes
+
+    def lists(self, spaced: pa.Array) -> pa.Array:
+        """Ids of texts that start with the added space."""
+        pieces, index, counts = distinct_pieces(spaced, self.fine)
+        flat, lengths = spread(*self.memory.lists(pieces.to_pylist()), index, counts)
+        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        return pa.ListArray.from_arrays(offsets, pa.array(flat.astype(np.int32)))
 
     def joined(self, lists: pa.Array) -> tuple[bytes, np.ndarray]:
         """Joined token bytes of all texts and the place behind each text."""
@@ -88,27 +100,28 @@ class ByteLevel(Side):
         table = [b""] * (max(ranks.values()) + 1)
         for token, i in ranks.items():
             table[i] = token
-        super().__init__(table)
+        super().__init__(table, fine=True)
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        encode = self.encoding.encode_ordinary
-        return [encode(" " + t) if t else [] for t in texts]
+    def ids(self, pieces: list[str]) -> list[list[int]]:
+        return list(map(self.encoding.encode_ordinary, pieces))
 
 
 class Pieces(Side):
-    """A sentencepiece model with byte fallback."""
+    """A sentencepiece model with byte fallback.  It puts the space in front
+    itself, so a piece goes in without the one it starts with."""
 
     def __init__(self, path: str):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        n = self.model.get_piece_size()
-        names = [self.model.id_to_piece(i) for i in range(n)]
-        super().__init__([bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode()
-                          for i, p in enumerate(names)])
+        names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        if any("\u2581" in p.lstrip("\u2581") for p in names):
+            raise ValueError("the model joins a character and the space after it")
+        super().__init__([bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("\u2581", " ").encode()
+                          for i, p in enumerate(names)], fine=False)
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        return [x if t else [] for t, x in zip(texts, self.model.encode(texts, num_threads=1), strict=True)]
+    def ids(self, pieces: list[str]) -> list[list[int]]:
+        return self.model.encode([p[1:] for p in pieces], num_threads=1)
 
 
 def sides(path_a: str, path_b: str) -> tuple[Side, Side]:
@@ -127,32 +140,28 @@ def without(lists: pa.Array, rows: np.ndarray) -> pa.Array:
 
 
 def token_table(side: Side, lists: pa.Array, name: str) -> pa.Table:
-    """``doc, end, <name>, at``: every token, the byte behind it inside its
-    document, its id and its place in the flat list."""
+    """``end, <name>, at_<name>``: every token by its document-end key (number
+    of the document, byte behind the token inside it), its id and its place in
+    the flat list."""
     ids, doc = pc.list_flatten(lists), pc.list_parent_indices(lists).cast(pa.int64())
     total = pc.cumulative_sum(pc.take(side.sizes, ids))
     before = np.concatenate([[0], np.asarray(total)])[np.asarray(lists.offsets)[:-1]]
     end = pc.subtract(total, pc.take(pa.array(before), doc))
-    return pa.table({"doc": doc, "end": end, name: ids, f"at_{name}": pa.array(np.arange(len(ids)))})
-
-
-_DIGITS = 10 ** np.arange(9, -1, -1)
+    key = pc.bit_wise_or(pc.shift_left(doc, pa.scalar(SHIFT, pa.int64())), end)
+    return pa.table({"end": key, name: ids, f"at_{name}": pa.array(np.arange(len(ids)))})
 
 
-def decimal_text(ids: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of the ids in decimal, each with one byte behind it (0: none),
-    and the number of bytes of each."""
-    digit = (ids[:, None] // _DIGITS[None, :]) % 10
-    used = np.cumsum(digit > 0, axis=1) > 0
-    used[:, -1] = True
-    grid = np.concatenate([(digit + 48).astype(np.uint8), after[:, None].astype(np.uint8)], axis=1)
-    mask = np.concatenate([used, (after > 0)[:, None]], axis=1)
-    return grid[mask], mask.sum(axis=1)
+def groups_of(last: np.ndarray, n: int) -> np.ndarray:
+    """Number of the group of each of ``n`` tokens from the groups' last ones."""
+    mark = np.zeros(n, np.int64)
+    mark[last] = 1
+    return np.cumsum(mark) - mark
 
 
-def spell_groups(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, doc_a: np.ndarray,
-                 doc_b: np.ndarray, n_docs: int) -> list[bytes]:
-    """``a1,a2|b1;a3|b2,b3`` of every document; groups are numbered over all."""
+def spell_groups(decimal: np.ndarray, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray,
+                 doc_a: np.ndarray, doc_b: np.ndarray, n_docs: int) -> list[bytes]:
+    """``a1,a2|b1;a3|b2,b3`` of every document; groups are numbered over all.
+    ``decimal`` holds the ids' digits, blanks in front."""
     def last_of(x):
         last = np.ones(len(x), bool)
         last[:-1] = x[1:] != x[:-1]
@@ -160,27 +169,28 @@ def spell_groups(a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.
 
     n_a, n_b = len(a), len(b)
     ids, after, doc = np.empty(n_a + n_b, np.int64), np.empty(n_a + n_b, np.uint8), np.empty(n_a + n_b, np.int64)
-    place_a = np.arange(n_a) + np.searchsorted(group_b, group_a, side="left")
-    place_b = np.arange(n_b) + np.searchsorted(group_a, group_b, side="right")
+    groups = int(group_a[-1]) + 1 if n_a else 0  # the last token of a document always ends a group
+    place_a = np.arange(n_a) + np.concatenate([[0], np.cumsum(np.bincount(group_b, minlength=groups))])[group_a]
+    place_b = np.arange(n_b) + np.cumsum(np.bincount(group_a, minlength=groups))[group_b]
     ids[place_a], ids[place_b] = a, b
     doc[place_a], doc[place_b] = doc_a, doc_b
     after[place_a] = np.where(last_of(group_a), ord("|"), ord(","))
     after[place_b] = np.where(last_of(doc_b), 0, np.where(last_of(group_b), ord(";"), ord(",")))
-    parts, sizes = [], []
+    size = np.concatenate([(decimal > 32).sum(axis=1)[ids] + (after > 0), [0]])
+    cut = np.concatenate([[0], np.cumsum(size[:-1])])[np.searchsorted(doc, np.arange(n_docs + 1))]
+    parts = []
     for lo in range(0, len(ids), 1 << 18):
-        text, size = decimal_text(ids[lo:lo + (1 << 18)], after[lo:lo + (1 << 18)])
-        parts.append(text.tobytes())
-        sizes.append(size)
+        grid = np.concatenate([decimal[ids[lo:lo + (1 << 18)]], after[lo:lo + (1 << 18), None]], axis=1)
+        parts.append(grid[grid > 32].tobytes())
     whole = b"".join(parts)
-    ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]) if sizes else np.zeros(1, np.int64)
-    cut = ends[np.searchsorted(doc, np.arange(n_docs + 1))]
     return [whole[cut[i]:cut[i + 1]] for i in range(n_docs)]
 
 
 def align(texts: list[str | None], side_a: Side, side_b: Side) -> dict:
     """Counts, group spellings and links (id pairs in order, as lists) of texts."""
     texts = [t or "" for t in texts]
-    lists = [side_a.lists(texts), side_b.lists(texts)]
+    spaced = pa.array([" " + t if t else "" for t in texts], pa.string())
+    lists = [side_a.lists(spaced), side_b.lists(spaced)]
     bad = np.zeros(len(texts), bool)
     for side, own in zip((side_a, side_b), lists, strict=True):
         joined, ends = side.joined(own)
@@ -190,16 +200,15 @@ def align(texts: list[str | None], side_a: Side, side_b: Side) -> dict:
             lo = hi
     lists = [without(x, bad) for x in lists]
     table_a, table_b = token_table(side_a, lists[0], "a"), token_table(side_b, lists[1], "b")
-    links = (table_a.join(table_b, ["doc", "end"], join_type="inner", use_threads=False)
-             .sort_by([("doc", "ascending"), ("end", "ascending")]).combine_chunks())
+    links = table_a.join(table_b, "end", join_type="inner", use_threads=False).sort_by("end").combine_chunks()
     n = len(texts)
     a, b = np.asarray(lists[0].values), np.asarray(lists[1].values)
-    doc_a, doc_b = table_a["doc"].to_numpy(), table_b["doc"].to_numpy()
+    doc_a, doc_b = (np.asarray(pc.list_parent_indices(x)) for x in lists)
     # a token is of the first group whose last token is not before it
-    group_a = np.searchsorted(links["at_a"].to_numpy(), np.arange(len(a)))
-    group_b = np.searchsorted(links["at_b"].to_numpy(), np.arange(len(b)))
-    spelled = spell_groups(a, b, group_a, group_b, doc_a, doc_b, n)
-    per_doc = np.bincount(links["doc"].to_numpy(), minlength=n)
+    group_a, group_b = (groups_of(links[f"at_{x}"].to_numpy(), n) for x, n in (("a", len(a)), ("b", len(b))))
+    decimal = max(side_a.decimal, side_b.decimal, key=len)
+    spelled = spell_groups(decimal, a, b, group_a, group_b, doc_a, doc_b, n)
+    per_doc = np.bincount(links["end"].to_numpy() >> SHIFT, minlength=n)
     pairs = links["a"].to_numpy().astype(np.int64) * len(side_b.bytes) + links["b"].to_numpy()
     return {"n_a": np.bincount(doc_a, minlength=n), "n_b": np.bincount(doc_b, minlength=n), "n_groups": per_doc,
             "spelled": spelled, "pairs": pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(per_doc)]).astype(np.int32), pa.array(pairs))}
