@@ -86,8 +86,8 @@ def test_odd_texts(spark, odd_rows, no_rows, monkeypatch):
     assert alignment.align_documents(no_rows).count() == 0
 
 
-def test_blocks_hold_every_text_once():
+def test_slices_hold_every_text_once():
     texts = ["abc", None, "x" * 50, "", "yy"]
-    cut = list(alignment.blocks_of(texts, 10))
+    cut = list(alignment.slices_of(texts, 10))
     assert [i for lo, hi in cut for i in range(lo, hi)] == list(range(5))
     assert (2, 3) in cut or any(hi - lo == 1 and lo == 2 for lo, hi in cut)

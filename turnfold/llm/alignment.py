@@ -37,7 +37,8 @@ from .frames import written
 from .idtokens import TOKENIZER, PieceMemory, distinct_pieces, spread, tokenizer_path
 
 PIECES = "piece_bpe_32k.model"
-BLOCK = 2 << 20  # characters of text whose links a task holds at once; a longer text is a block of its own
+SLICE = 1 << 20  # characters of text that a task aligns at once; a longer text is a slice of its own
+SLICES = 8       # of a task that share a block, whose counts are kept apart
 SHIFT = 40  # bits of a document-end key that hold the byte
 ROW = ("block long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<long>")
 _OPEN: dict[tuple[str, str], tuple] = {}
@@ -214,7 +215,7 @@ def align(texts: list[str | None], side_a: Side, side_b: Side) -> dict:
             "spelled": spelled, "pairs": pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(per_doc)]).astype(np.int32), pa.array(pairs))}
 
 
-def blocks_of(texts: list[str | None], most: int = BLOCK) -> Iterator[tuple[int, int]]:
+def slices_of(texts: list[str | None], most: int = SLICE) -> Iterator[tuple[int, int]]:
     lo = 0
     while lo < len(texts):
         hi, chars = lo, 0
@@ -236,11 +237,11 @@ def aligned(docs: DataFrame, key: str = "doc_id", text: str = "text", path_a: st
         task, made = TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for lo, hi in blocks_of(texts):
+            for lo, hi in slices_of(texts):
                 got = align(texts[lo:hi], *own)
                 digest = [hashlib.sha256(x).hexdigest() if x else "" for x in got["spelled"]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(hi - lo, (task << 32) + made)), batch.column(0).slice(lo, hi - lo)]
+                    [pa.array(np.full(hi - lo, (task << 32) + made // SLICES)), batch.column(0).slice(lo, hi - lo)]
                     + [pa.array(got[c].astype(np.int64)) for c in ("n_a", "n_b", "n_groups")]
                     + [pa.array(digest, pa.string()), got["pairs"]],
                     ["block", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "pairs"])

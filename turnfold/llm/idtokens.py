@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 
 TOKENIZER = "byte_bpe_50k.json"
-REMEMBERED = 400_000  # pieces of a generation
+REMEMBERED = 150_000  # pieces of a generation
 # white space other than blank and newline, by the Unicode property, and the separators that some libraries add
 _OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 _OPEN: dict[str, Encoder] = {}
