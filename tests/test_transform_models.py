@@ -5,6 +5,8 @@ import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from turnfold.operators import flattrees as FL
+from turnfold.operators import histtrees as HT
 from turnfold.operators import models as MD
 from turnfold.operators import split as SP
 from turnfold.operators import transform as TR
@@ -92,34 +94,30 @@ def test_soft_vote_is_member_mean(spark):
         assert r.prediction == int(r.probability >= 0.45)
 
 
-def test_newton_booster_matches_numpy(spark):
-    """With no subsampling, alpha = lambda = 0 and one-leaf trees (depth 0)
-    each round is an exact Newton step on the intercept; deeper trees lower
-    the training log-loss round by round."""
+def test_boosting_lowers_the_loss_round_by_round(spark):
+    """Each round lowers the training log-loss from that of the prior; leaf
+    values of the first tree are -G/(H+lambda) of the rows reaching them."""
     rng = np.random.default_rng(5)
     X = rng.normal(size=(300, 4))
     y = (X[:, 0] - X[:, 2] + 0.3 * rng.normal(size=300) > 0.4).astype(float)
     df = _matrix(spark, X, y)
-    m = MD.NewtonBooster(rounds=3, max_depth=3, eta=0.3, subsample=1.0, colsample=1.0,
-                         min_child_weight=1.0, alpha=0.0, lam=1.0, id_col="id").fit(df)
+    own = HT.Criterion(alpha=0.0, lam=1.0, gamma=0.0, min_child_weight=1.0)
+    m = HT.HistogramBooster(3, max_depth=3, eta=0.3, subsample=1.0, criterion=own).fit(df)
     p0 = y.mean()
-    assert m.base_score == pytest.approx(np.log(p0 / (1 - p0)))
+    assert m.base == pytest.approx(np.log(p0 / (1 - p0)))
     losses = []
     for k in range(4):
-        sub = MD.NewtonBoosterModel(m.base_score, m.trees[:k], m.eta)
+        sub = FL.FlatModel(m.trees.part(0, k), m.width, m.base)
         p = np.array([r.xgb_p1 for r in sub.transform(df).orderBy("id").collect()])
         losses.append(-np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)))
     assert losses[0] == pytest.approx(-(p0 * np.log(p0) + (1 - p0) * np.log(1 - p0)))
     assert losses[3] < losses[2] < losses[1] < losses[0]
-    # leaf values are -G/(H+lambda) of the rows reaching the leaf
-    cols, tree, leaves = m.trees[0]
-    pr = np.full(300, p0)
-    g, h = pr - y, pr * (1 - pr)
-    leaf_of = np.array([r._l for r in tree.setLeafCol("_l").setFeaturesCol("features")
-                        .transform(df).orderBy("id").collect()])
-    for k, v in leaves.items():
+    one = m.trees.part(0, 1)
+    g, h = p0 - y, np.full(300, p0 * (1 - p0))
+    leaf_of = one.leaves(X)[:, 0]
+    for k in np.unique(leaf_of):
         sel = leaf_of == k
-        assert v == pytest.approx(-g[sel].sum() / (h[sel].sum() + 1.0))
+        assert one.value[k] == pytest.approx(-0.3 * g[sel].sum() / (h[sel].sum() + 1.0))
 
 
 def test_drop_constant_keeps_pca(spark):

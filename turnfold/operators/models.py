@@ -1,10 +1,12 @@
-"""Classifiers and soft voting (H1-H9) on ``pyspark.ml``.
-
-Reference parameters are the function defaults.  Differences that cannot
-be removed are documented per function: Spark bins continuous features
-(``maxBins``), GBT probabilities are ``sigmoid(2F)`` with the first tree at
-weight 1, and there is no extremely-randomised-trees learner (H3 is an
-approximation).
+"""Classifiers and soft voting (H1-H9).
+
+Logistic regression, the forest (H2) and ``regularised_gbt`` are
+``pyspark.ml`` learners; extremely randomised trees (H3) are in
+``randomtrees``, boosting from the log-odds prior (H4) and regularised
+boosting (H5) in ``histtrees``, and their scoring in ``flattrees``.
+Reference parameters are the function defaults.  Spark bins continuous
+features (``maxBins``).  ``RandomCutForest`` is a lighter form of H3 that
+shares cuts among the trees of a group.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .evaluate import predict_at
+from .flattrees import FlatModel
 
 MAX_BINS = 256  # histogram bins of a feature, for every tree learner
 
@@ -69,9 +72,8 @@ def gbt(max_iter: int = 100, max_depth: int = 4, step: float = 0.03, subsample:
         label_col: str = "label", prefix: str = "gbt", feature_subset: str = "all",
         min_info_gain: float = 0.0, weight_col: str | None = None,
         max_bins: int = MAX_BINS) -> GBTClassifier:
-    """H4 (and H5 with ``feature_subset='0.7'``, ``max_iter=150`` and
-    ``min_info_gain`` standing in for gamma; column sampling is per node in
-    Spark, per tree in the reference)."""
+    """Spark's own boosting: ``sigmoid(2F)`` with the first tree at weight 1;
+    column sampling is per node.  H4 itself is ``histtrees.gradient_booster``."""
     g = GBTClassifier(featuresCol=features_col, labelCol=label_col, maxIter=max_iter,
                       maxDepth=max_depth, stepSize=step, subsamplingRate=subsample,
                       minInstancesPerNode=min_instances, seed=seed,
@@ -188,7 +190,7 @@ class SoftVoteModel:
         cols = []
         for name, model in self.members:
             out = model.transform(out)
-            if isinstance(model, (RandomCutForestModel, NewtonBoosterModel)):
+            if isinstance(model, (RandomCutForestModel, FlatModel)):
                 p = F.col(f"{model.prefix}_p1")
             else:
                 p = positive_probability(f"{name}_probability")
@@ -286,16 +288,8 @@ def save_soft_vote(spark, vote: SoftVoteModel, path: str) -> None:
                 groups.append(trees)
             manifest["members"].append({"name": name, "kind": "random_cut", "groups": groups,
                                         "features_col": model.features_col, "prefix": model.prefix})
-        elif isinstance(model, NewtonBoosterModel):
-            trees = []
-            for r, (cols, tree, leaves) in enumerate(model.trees):
-                tree.write().overwrite().save(f"{path}/{name}/tree_{r}")
-                trees.append({"cols": [int(c) for c in cols],
-                              "leaves": [[float(k), float(v)] for k, v in leaves.items()]})
-            manifest["members"].append({"name": name, "kind": "newton", "trees": trees,
-                                        "base_score": model.base_score, "eta": model.eta,
-                                        "features_col": model.features_col,
-                                        "prefix": model.prefix})
+        elif isinstance(model, FlatModel):
+            manifest["members"].append({"name": name, "kind": "flat", "kept": model.save(spark, f"{path}/{name}")})
         else:
             model.write().overwrite().save(f"{path}/{name}")
             manifest["members"].append({"name": name, "kind": type(model).__name__})
@@ -317,137 +311,9 @@ def load_soft_vote(spark, path: str) -> SoftVoteModel:
                 cuts = np.array([r.cuts for r in rows])
                 rf = C.RandomForestClassificationModel.load(f"{path}/{m['name']}/forest_{g}")
                 model.groups.append((cuts, rf, trees))
-        elif m["kind"] == "newton":
-            from pyspark.ml.regression import DecisionTreeRegressionModel
-            model = NewtonBoosterModel(base_score=m["base_score"], eta=m["eta"],
-                                       features_col=m["features_col"], prefix=m["prefix"])
-            for r, t in enumerate(m["trees"]):
-                tree = DecisionTreeRegressionModel.load(f"{path}/{m['name']}/tree_{r}")
-                model.trees.append((t["cols"], tree, {k: v for k, v in t["leaves"]}))
+        elif m["kind"] == "flat":
+            model = FlatModel.load(spark, f"{path}/{m['name']}", m["kept"])
         else:
             model = getattr(C, m["kind"]).load(f"{path}/{m['name']}")
         members.append((m["name"], model))
     return SoftVoteModel(members=members, threshold=manifest["threshold"])
-
-
-# ---------------------------------------------------------------------------
-# H5: second-order (Newton) boosting with L1/L2 leaf shrinkage
-# ---------------------------------------------------------------------------
-
-@dataclass
-class NewtonBoosterModel:
-    base_score: float
-    trees: list = field(default_factory=list)     # (feature indices, tree model, {leaf: value})
-    eta: float = 0.03
-    features_col: str = "features"
-    prefix: str = "xgb"
-
-    def margin(self, df: DataFrame) -> DataFrame:
-        """Adds ``_<prefix>_F``: base log-odds plus the scaled leaf values."""
-        from pyspark.ml.feature import VectorSlicer
-        m = f"_{self.prefix}_F"
-        out = df.withColumn(m, F.lit(self.base_score))
-        for r, (cols, tree, leaves) in enumerate(self.trees):
-            x, leaf = f"_{self.prefix}_x", f"_{self.prefix}_leaf"
-            out = VectorSlicer(inputCol=self.features_col, outputCol=x, indices=cols).transform(out)
-            out = tree.setLeafCol(leaf).setPredictionCol(f"_{self.prefix}_pr") \
-                      .setFeaturesCol(x).transform(out)
-            value = F.lit(0.0)
-            for k, v in leaves.items():
-                value = F.when(F.col(leaf) == F.lit(float(k)), F.lit(float(v))).otherwise(value)
-            out = out.withColumn(m, F.col(m) + F.lit(self.eta) * value) \
-                     .drop(x, leaf, f"_{self.prefix}_pr")
-        return out
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        m = f"_{self.prefix}_F"
-        return self.margin(df).withColumn(f"{self.prefix}_p1",
-                                          F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col(m)))).drop(m)
-
-
-class NewtonBooster:
-    """H5: boosting on the logistic loss with second-order steps, as the
-    reference's regularised booster: start at the log-odds prior, each
-    round fits a regression tree to ``-g/h`` weighted by ``h`` (weighted
-    least squares = the second-order split gain with lambda 0) on a
-    seeded row subsample and column subsample; leaf values are
-    ``-soft(G, alpha) / (H + lambda)`` from a grouped sum over leaf ids
-    (at most 2^depth rows); ``min_child_weight`` becomes the minimum weight
-    fraction per node.  Gamma pruning is not applied.  The running margin
-    is checkpointed every ``checkpoint_every`` rounds to cut lineage."""
-
-    def __init__(self, rounds: int = 150, max_depth: int = 4, eta: float = 0.03,
-                 subsample: float = 0.65, colsample: float = 0.7, min_child_weight: float = 8.0,
-                 alpha: float = 0.3, lam: float = 2.0, seed: int = 42,
-                 features_col: str = "features", label_col: str = "label", id_col: str = "id",
-                 prefix: str = "xgb", checkpoint_every: int = 10, max_bins: int = MAX_BINS):
-        self.__dict__.update(dict(rounds=rounds, max_depth=max_depth, eta=eta,
-                                  subsample=subsample, colsample=colsample,
-                                  min_child_weight=min_child_weight, alpha=alpha, lam=lam,
-                                  seed=seed, features_col=features_col, label_col=label_col,
-                                  id_col=id_col, prefix=prefix, checkpoint_every=checkpoint_every,
-                                  max_bins=max_bins))
-
-    def fit(self, df: DataFrame) -> NewtonBoosterModel:
-        import math
-
-        from pyspark.ml.feature import VectorSlicer
-        from pyspark.ml.regression import DecisionTreeRegressor
-
-        from ..session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        y = F.col(self.label_col).cast("double")
-        base = df.select(self.id_col, y.alias("_y"), self.features_col)
-        p0 = base.agg(F.avg("_y")).first()[0]
-        p0 = min(max(p0, 1e-6), 1 - 1e-6)
-        model = NewtonBoosterModel(base_score=math.log(p0 / (1 - p0)), eta=self.eta,
-                                   features_col=self.features_col, prefix=self.prefix)
-        d = base.select(self.features_col).first()[0].size
-        rng = np.random.default_rng(self.seed)
-        m = f"_{self.prefix}_F"
-        from pyspark import StorageLevel
-        cur = base.withColumn(m, F.lit(model.base_score)).persist(StorageLevel.MEMORY_AND_DISK)
-        cur.count()
-        for r in range(self.rounds):
-            cols = sorted(rng.choice(d, max(1, math.ceil(self.colsample * d)), replace=False)
-                          .tolist())
-            p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col(m)))
-            keep = F.pmod(F.xxhash64(F.lit(self.seed + r), F.col(self.id_col)),
-                          F.lit(1_000_000)) < F.lit(int(self.subsample * 1_000_000))
-            step = (cur.where(keep)
-                    .withColumn("_g", p - F.col("_y"))
-                    .withColumn("_h", F.greatest(p * (F.lit(1.0) - p), F.lit(1e-16))))
-            step = step.withColumn("_t", -F.col("_g") / F.col("_h"))
-            x = f"_{self.prefix}_x"
-            step = VectorSlicer(inputCol=self.features_col, outputCol=x, indices=cols).transform(step)
-            total_h = step.agg(F.sum("_h")).first()[0] or 1.0
-            least = self.min_child_weight / total_h
-            # where no split can leave the asked weight on both sides, the tree is one leaf
-            tree = DecisionTreeRegressor(
-                featuresCol=x, labelCol="_t", weightCol="_h", maxDepth=self.max_depth if least < 0.5 else 0,
-                minWeightFractionPerNode=least if least < 0.5 else 0.0,
-                seed=self.seed + r, maxBins=self.max_bins, predictionCol=f"_{self.prefix}_pr",
-                leafCol=f"_{self.prefix}_leaf").fit(step)
-            sums = (tree.transform(step).groupBy(f"_{self.prefix}_leaf")
-                    .agg(F.sum("_g").alias("G"), F.sum("_h").alias("H")).collect())
-            leaves = {}
-            for row in sums:
-                G, H = row["G"], row["H"]
-                soft = math.copysign(max(abs(G) - self.alpha, 0.0), G)
-                leaves[row[0]] = -soft / (H + self.lam)
-            model.trees.append((cols, tree, leaves))
-            one = NewtonBoosterModel(base_score=0.0, trees=[(cols, tree, leaves)], eta=self.eta,
-                                     features_col=self.features_col, prefix=self.prefix + "s")
-            nxt = one.margin(cur).withColumn(m, F.col(m) + F.col(f"_{self.prefix}s_F")) \
-                     .drop(f"_{self.prefix}s_F")
-            # margins are cached every round (one tree applied per round);
-            # every few rounds the lineage is cut into the shared folder
-            if (r + 1) % self.checkpoint_every == 0:
-                nxt = nxt.checkpoint(eager=True)
-            else:
-                nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-                nxt.count()
-            cur.unpersist()
-            cur = nxt
-        cur.unpersist()
-        return model

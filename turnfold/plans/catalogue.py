@@ -31,7 +31,9 @@ from ..functions import nested as NS
 from ..functions.ordering import with_row_index
 from ..operators import evaluate as EV
 from ..operators import features as FT
+from ..operators import histtrees as HT
 from ..operators import models as MD
+from ..operators import randomtrees as RT
 from ..operators import scoring as SC
 from ..operators import split as SP
 from ..operators import timeline as TL
@@ -715,18 +717,51 @@ def q_random_cut(spark, sf_dir):
 def q_gbt(spark, sf_dir):
     e = embedding_frame(spark, sf_dir)
     train, _ = _train_part(e, "vec_id")
-    m = MD.gbt().fit(train)
-    return _score(m.transform(e), MD.positive_probability("gbt_probability"), 0.45)
+    m = HT.gradient_booster().fit(train)
+    return _score(m.transform(e), F.col("gbt_p1"), 0.45)
 
 
 @register("regularised_boost_scores")
 def q_xgb(spark, sf_dir):
     e = embedding_frame(spark, sf_dir)
     train, _ = _train_part(e, "vec_id")
-    m = MD.NewtonBooster(id_col="vec_id").fit(train)
+    m = HT.regularised_booster().fit(train)
     return _score(m.transform(e), F.col("xgb_p1"), 0.45)
 
 
+@register("extra_trees_scores")
+def q_extra_trees(spark, sf_dir):
+    e = embedding_frame(spark, sf_dir)
+    train, _ = _train_part(e, "vec_id")
+    m = RT.ExtraTrees().fit(train)
+    return _score(m.transform(e), F.col("et_p1"), 0.45)
+
+
+def _line_steps(spark, sf_dir) -> DataFrame:
+    """Line features with few distinct values: every value is a bin."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select((F.col("l_returnflag") == "R").cast("double").alias("label"), array_to_vector(F.array(
+        *[F.col(c).cast("double") for c in ("l_quantity", "l_discount", "l_tax", "l_linenumber")])).alias("features"))
+
+
+@register("boost_split_gains")
+def q_boost_split_gains(spark, sf_dir):
+    out = HT.root_gains(_line_steps(spark, sf_dir), HT.Criterion())
+    return out.select("feature", _r("border").alias("border"), _r("gl", 4).alias("gl"), _r("hl", 4).alias("hl"), "nl", _r("gain", 4).alias("gain"))
+
+
+@register("gradient_split_gains")
+def q_gradient_split_gains(spark, sf_dir):
+    out = HT.root_gains(_line_steps(spark, sf_dir), HT.Criterion("friedman"))
+    return out.select("feature", _r("border").alias("border"), _r("gl", 4).alias("gl"), "nl", _r("gain", 4).alias("gain"))
+
+
+@register("extra_tree_splits")
+def q_extra_tree_splits(spark, sf_dir):
+    out = RT.root_candidates(_line_steps(spark, sf_dir), trees=24)
+    return out.select("tree", "feature", "low", "high", _r("threshold").alias("threshold"), "n_left", "pos_left", _r("gain", 4).alias("gain"))
+
+
 @register("regularised_gbt_scores")
 def q_xgb_gbt(spark, sf_dir):
     e = embedding_frame(spark, sf_dir)
@@ -739,9 +774,9 @@ def _ensemble(spark, sf_dir):
     e = embedding_frame(spark, sf_dir)
     train, _ = _train_part(e, "vec_id")
     members = [("rf", MD.random_forest()),
-               ("et", MD.RandomCutForest(prefix="et")),
-               ("gbt", MD.gbt()),
-               ("xgb", MD.NewtonBooster(id_col="vec_id"))]
+               ("et", RT.ExtraTrees()),
+               ("gbt", HT.gradient_booster()),
+               ("xgb", HT.regularised_booster())]
     return e, MD.fit_soft_vote(train, members, threshold=0.45)
 
 
@@ -1019,9 +1054,9 @@ def q_orders_ensemble(spark, sf_dir):
         slicer, idx, _ = SP.select_top_features(z, "scaled")
         prep = PipelineModel(stages=[sc, slicer])
         members = [("rf", MD.random_forest(features_col="selected")),
-                   ("et", MD.RandomCutForest(features_col="selected", prefix="et")),
-                   ("gbt", MD.gbt(features_col="selected")),
-                   ("xgb", MD.NewtonBooster(features_col="selected", id_col="o_orderkey"))]
+                   ("et", RT.ExtraTrees(features_col="selected")),
+                   ("gbt", HT.gradient_booster(features_col="selected")),
+                   ("xgb", HT.regularised_booster(features_col="selected"))]
         vote = MD.fit_soft_vote(prep.transform(cached), members, threshold=0.45)
     finally:
         cached.unpersist()

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..operators import evaluate as EV
 from ..operators import features as FT
+from ..operators import histtrees as HT
 from ..operators import models as MD
+from ..operators import randomtrees as RT
 from ..operators import scoring as SC
 from ..operators import split as SP
 from ..operators import timeline as TL
@@ -94,7 +96,7 @@ def train_ensemble(spark: SparkSession, path: str, test_size: float = 0.15,
                    prefix: str = "ensemble") -> TrainResult:
     """J2's training side (H2-H6 with F1, G1, G3): scaler (fitted on the
     training part, Q12 corrected) -> top-n selection -> soft vote of the
-    forest, the random-cut forest, boosting and (optional) regularised
+    forest, extremely randomised trees, boosting and (optional) regularised
     boosting."""
     feats, _ = match_feature_table(spark, path)
     split = SP.hash_split(feats, ["battle_id"], test_size)
@@ -115,11 +117,10 @@ def train_ensemble(spark: SparkSession, path: str, test_size: float = 0.15,
         col = "selected"
         tr = slicer.transform(tr)
     members = [("rf", MD.random_forest(num_trees=num_trees, features_col=col)),
-               ("et", MD.RandomCutForest(num_trees=num_trees, features_col=col, prefix="et")),
-               ("gbt", MD.gbt(max_iter=gbt_rounds, features_col=col))]
+               ("et", RT.ExtraTrees(num_trees=num_trees, features_col=col)),
+               ("gbt", HT.gradient_booster(gbt_rounds, features_col=col))]
     if with_regularised:
-        members.append(("xgb", MD.NewtonBooster(rounds=xgb_rounds, features_col=col,
-                                                id_col="battle_id")))
+        members.append(("xgb", HT.regularised_booster(xgb_rounds, features_col=col)))
     vote = MD.fit_soft_vote(tr, members, threshold)
     prep_model = PipelineModel(stages=stages)
 

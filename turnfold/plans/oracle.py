@@ -603,3 +603,50 @@ SELECT a.user_id, a.turns, a.alive, a.discovered_alive, ROUND(l.value, 6) leader
        ROUND(COALESCE(hp.he, 1.0), 6) hp_error
 FROM agg a JOIN last_ev l ON l.user_id = a.user_id AND l.rn = 1 LEFT JOIN hp ON hp.user_id = a.user_id
 """
+
+_STEPS = """steps AS (
+  SELECT CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS y, unnest([0, 1, 2, 3]) AS feature,
+         unnest([CAST(l_quantity AS DOUBLE), CAST(l_discount AS DOUBLE), CAST(l_tax AS DOUBLE), CAST(l_linenumber AS DOUBLE)]) AS x
+  FROM lineitem)"""
+
+_BORDERS = f"""{_STEPS},
+prior AS (SELECT avg(CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS p, count(*) AS n FROM lineitem),
+per AS (SELECT feature, x, count(*) AS n, sum(y::DOUBLE) AS pos FROM steps GROUP BY feature, x),
+below AS (SELECT feature, (x + lead(x) OVER w) / 2.0 AS border, sum(n) OVER w AS nl, sum(pos) OVER w AS pl FROM per
+          WINDOW w AS (PARTITION BY feature ORDER BY x)),
+sums AS (SELECT feature, border, CAST(nl AS BIGINT) AS nl, nl * p.p - pl AS gl, nl * p.p * (1 - p.p) AS hl, 0.0::DOUBLE AS g,
+                p.n * p.p * (1 - p.p) AS h, p.n AS n FROM below, prior p WHERE border IS NOT NULL)"""
+
+_SOFT = "power(greatest(abs({g}) - 0.3, 0.0), 2) / ({h} + 2.0)"
+
+ORACLE["boost_split_gains"] = f"""
+WITH {_BORDERS}
+SELECT CAST(feature AS INTEGER) AS feature, ROUND(border, 6) AS border, ROUND(gl, 4) AS gl, ROUND(hl, 4) AS hl, nl,
+       CASE WHEN hl >= 8 AND h - hl >= 8 THEN ROUND({_SOFT.format(g='gl', h='hl')} + {_SOFT.format(g='(g - gl)', h='(h - hl)')}
+            - {_SOFT.format(g='g', h='h')}, 4) END AS gain
+FROM sums"""
+
+ORACLE["gradient_split_gains"] = f"""
+WITH {_BORDERS}
+SELECT CAST(feature AS INTEGER) AS feature, ROUND(border, 6) AS border, ROUND(gl, 4) AS gl, nl,
+       CASE WHEN nl >= 8 AND n - nl >= 8 THEN ROUND(nl * (n - nl) / n::DOUBLE * power(gl / nl - (g - gl) / (n - nl), 2), 4) END AS gain
+FROM sums"""
+
+ORACLE["extra_tree_splits"] = f"""
+WITH {_STEPS},
+z0 AS (SELECT unnest(range(24)) AS tree), z1 AS (SELECT tree, (42 + tree) % 2147483647 AS z FROM z0),
+z2 AS (SELECT tree, (z * z + 48271 * z + 12345) % 2147483647 AS z FROM z1),
+z3 AS (SELECT tree, (z * z + 48271 * z + 12345) % 2147483647 AS z FROM z2),
+z4 AS (SELECT tree, feature, (z + feature) % 2147483647 AS z FROM z3, (SELECT unnest([0, 1, 2, 3]) AS feature) f),
+drawn AS (SELECT tree, feature, ((z * z + 48271 * z + 12345) % 2147483647) / 2147483647.0::DOUBLE AS u FROM z4),
+span AS (SELECT feature, min(x) AS low, max(x) AS high, count(*) AS n, sum(y::DOUBLE) AS pos FROM steps GROUP BY feature),
+cuts AS (SELECT d.tree, s.*, s.low + d.u * (s.high - s.low) AS threshold FROM drawn d JOIN span s USING (feature)),
+counted AS (SELECT c.tree, c.feature, c.low, c.high, c.threshold, c.n, c.pos, sum(CASE WHEN t.x <= c.threshold THEN t.k ELSE 0 END) AS nl,
+                   sum(CASE WHEN t.x <= c.threshold THEN t.pos ELSE 0 END) AS pl
+            FROM cuts c JOIN (SELECT feature, x, count(*) AS k, sum(y::DOUBLE) AS pos FROM steps GROUP BY feature, x) t USING (feature)
+            GROUP BY ALL)
+SELECT CAST(tree AS INTEGER) AS tree, CAST(feature AS INTEGER) AS feature, low, high, ROUND(threshold, 6) AS threshold,
+       CAST(nl AS BIGINT) AS n_left, CAST(pl AS BIGINT) AS pos_left,
+       ROUND(2.0 * pos * (n - pos) / n - CASE WHEN nl > 0 THEN 2.0 * pl * (nl - pl) / nl ELSE 0.0 END
+             - CASE WHEN n > nl THEN 2.0 * (pos - pl) * (n - nl - pos + pl) / (n - nl) ELSE 0.0 END, 4) AS gain
+FROM counted"""

@@ -54,6 +54,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def ship(spark: SparkSession) -> None:
+    """Let local Python workers import this package whatever the working
+    folder; a cluster gets it by ``--py-files`` or PYTHONPATH."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH", ""), root) if x)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written
     intermediate tables (lineage cuts, round trips)."""
