@@ -11,7 +11,7 @@ from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordering import with_row_index
+from ..functions import selection as SEL
 
 SPLIT_SEED = 42
 _SCALE = 1_000_000
@@ -37,14 +37,30 @@ def hash_split(df: DataFrame, key_cols: Sequence[str | Column], test_fraction: f
 def exact_split(df: DataFrame, key_cols: Sequence[str], test_fraction: float,
                 seed: int = SPLIT_SEED, hash_col: Column | None = None) -> DataFrame:
     """G1 with the exact test size ``ceil(n * p)``: the rows with the
-    smallest (hash, key) are the test part.  The rank is a distributed
-    global index (range partitions + per-partition offsets), never a
-    one-task window."""
-    n = df.count()
-    k = math.ceil(n * test_fraction)
+    smallest (hash, key) are the test part.  The last of them is found by
+    distributed selection (``functions.selection``): no record is moved."""
     h = hash_col if hash_col is not None else key_hash(key_cols, seed)
-    ranked = with_row_index(df.withColumn("_tf_h", h), ["_tf_h", *key_cols], "_tf_rank")
-    return ranked.withColumn("is_test", F.col("_tf_rank") < F.lit(k)).drop("_tf_h", "_tf_rank")
+    place = math.ceil(df.count() * test_fraction)
+    return _placed(df, h, key_cols, lambda d, order: d.withColumn("is_test", SEL.below_place(d, order, place)))
+
+
+def _placed(df: DataFrame, h: Column, key_cols: Sequence[str], mark) -> DataFrame:
+    """``mark(frame, order)`` in the order of hash, key and whole row; only
+    where equal rows lie across a border are rows written and numbered."""
+    order = [h.cast("long"), *[SEL.order_value(df, c) for c in key_cols], SEL.whole_row(df)]
+    try:
+        return mark(df, order)
+    except SEL.Tied:
+        return mark(SEL.numbered(df), [*order, F.col(SEL.NUMBER)]).drop(SEL.NUMBER)
+
+
+def exact_folds(df: DataFrame, key_cols: Sequence[str], k: int, seed: int = SPLIT_SEED,
+                hash_col: Column | None = None, name: str = "fold") -> DataFrame:
+    """``k`` shuffled folds whose sizes differ by one row at most, the
+    first ones larger: consecutive parts of the (hash, key) order, found by
+    distributed selection."""
+    h = hash_col if hash_col is not None else key_hash(key_cols, seed)
+    return _placed(df, h, key_cols, lambda d, order: d.withColumn(name, SEL.fold_of(d, order, k)))
 
 
 def top_feature_indices(importances: Sequence[float], n_features: int) -> list[int]:

@@ -642,6 +642,29 @@ def q_exact_split(spark, sf_dir):
     return out.select("o_orderkey", "is_test")
 
 
+LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def _line_hash() -> Column:
+    return F.pmod(F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 104729 + F.col("l_partkey") * 31, F.lit(100003))
+
+
+@register("exact_folds")
+def q_exact_folds(spark, sf_dir):
+    """E17 over the exploded rows: equal folds of all lines."""
+    return SP.exact_folds(table(spark, sf_dir, "lineitem").select(*LINE_KEY), LINE_KEY, 5, hash_col=_line_hash())
+
+
+@register("exact_fold_encoding")
+def q_exact_fold_encoding(spark, sf_dir):
+    """E14 with the equal folds; names that one fold holds alone get the
+    global mean (E15)."""
+    rows = SP.exact_folds(table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_linestatus"), LINE_KEY, 5, hash_col=_line_hash())
+    rows = rows.withColumn("name", F.concat_ws("/", "l_partkey", "l_suppkey"))
+    out = WT.kfold_target_encoding(rows, "name", F.col("l_linestatus") == "F", F.col("fold"))
+    return out.select("name", _r("encoding").alias("encoding"), "n")
+
+
 def _train_part(df: DataFrame, key: str, fraction: float = 0.15) -> tuple[DataFrame, DataFrame]:
     s = SP.hash_split(df, [key], fraction)
     return s.where(~F.col("is_test")).drop("is_test"), s.where(F.col("is_test")).drop("is_test")

@@ -650,3 +650,23 @@ SELECT CAST(tree AS INTEGER) AS tree, CAST(feature AS INTEGER) AS feature, low,
        ROUND(2.0 * pos * (n - pos) / n - CASE WHEN nl > 0 THEN 2.0 * pl * (nl - pl) / nl ELSE 0.0 END
              - CASE WHEN n > nl THEN 2.0 * (pos - pl) * (n - nl - pos + pl) / (n - nl) ELSE 0.0 END, 4) AS gain
 FROM counted"""
+
+_FOLDS = """placed AS (
+  SELECT *, ROW_NUMBER() OVER (ORDER BY (l_orderkey * 7919 + l_linenumber * 104729 + l_partkey * 31) % 100003,
+                               l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS i FROM lineitem),
+total AS (SELECT COUNT(*) AS n FROM lineitem),
+folded AS (SELECT placed.*, CASE WHEN i < (n % 5) * (n // 5 + 1) THEN i // (n // 5 + 1)
+                                 ELSE n % 5 + (i - (n % 5) * (n // 5 + 1)) // (n // 5) END AS fold FROM placed, total)"""
+
+ORACLE["exact_folds"] = f"""
+WITH {_FOLDS} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(fold AS INTEGER) AS fold FROM folded"""
+
+ORACLE["exact_fold_encoding"] = f"""
+WITH {_FOLDS},
+rows AS (SELECT l_partkey || '/' || l_suppkey AS name, CASE WHEN l_linestatus = 'F' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y, fold FROM folded),
+gm AS (SELECT AVG(y) AS g FROM rows),
+per AS (SELECT name, fold, SUM(y) AS s, COUNT(*) AS n FROM rows GROUP BY 1, 2),
+tot AS (SELECT name, SUM(s) AS S, SUM(n) AS N FROM per GROUP BY 1)
+SELECT per.name, ROUND(AVG(CASE WHEN tot.N > per.n THEN (tot.S - per.s) / (tot.N - per.n) ELSE gm.g END), 6) AS encoding,
+       CAST(MAX(tot.N) AS BIGINT) AS n
+FROM per JOIN tot ON per.name = tot.name CROSS JOIN gm GROUP BY per.name"""
