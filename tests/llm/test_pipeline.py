@@ -93,8 +93,16 @@ def test_packing_stage(outputs):
 
 
 def test_stages_of_odd_rows(spark, odd_rows, no_rows):
-    docs = odd_rows.where("doc_id IS NOT NULL")
-    for docs in (docs, no_rows):
+    for docs in (odd_rows, no_rows):
         for name, stage in corpus_pipeline.STAGES:
             docs = written(stage(spark, docs, SF), f"odd-{name}")
         assert docs.count() >= 0
+
+
+def test_one_row_of_each_class_stays_whatever_its_id(spark):
+    copy, near = "one two three four five six seven eight nine ten", "one two three four five six seven eight nine ten "
+    other = "an altogether different text of some more words than that"
+    rows = [(1, copy), (1, copy), (None, copy), (None, copy), (3, near), (None, other), (None, other), (5, None), (5, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter(tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect())
+    assert got == collections.Counter([(1, copy), (None, other), (5, None), (5, None), (None, "")])

@@ -37,8 +37,8 @@ from .frames import written
 from .idtokens import TOKENIZER, PieceMemory, distinct_pieces, spread, tokenizer_path
 
 PIECES = "piece_bpe_32k.model"
-SLICE = 1 << 20  # characters of text that a task aligns at once; a longer text is a slice of its own
-SLICES = 8       # of a task that share a block, whose counts are kept apart
+SLICE = 1 << 19  # characters of text that a task aligns at once; a longer text is a slice of its own
+SLICES = 16      # of a task that share a block, whose counts are kept apart
 SHIFT = 40  # bits of a document-end key that hold the byte
 ROW = ("block long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<long>")
 _OPEN: dict[tuple[str, str], tuple] = {}
@@ -246,6 +246,7 @@ def aligned(docs: DataFrame, key: str = "doc_id", text: str = "text", path_a: st
                     + [pa.array(digest, pa.string()), got["pairs"]],
                     ["block", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "pairs"])
                 made += 1
+            pa.default_memory_pool().release_unused()
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, ROW)
 

@@ -12,9 +12,12 @@ there, u being a hash of the stratum.  Each document alone has probability p,
 and neighbours in size make up for each other, so the words taken miss the
 target by less than the largest document of each stratum.
 
-A hot source is many strata, so no task gets it whole.  Defined results: null
-text has size 0; a source without words has target 0 and yields nothing;
-rows that repeat are drawn one by one; an empty table gives no rows; other
+A hot source is many strata, so no task gets it whole; a stratum comes from the
+id and the text, so documents without an id or under one id are spread too.
+Defined results: null text has size 0; a source without words has target 0 and
+yields nothing; null and repeated ids are rows of their own; rows equal in id
+and text share a stratum, are drawn one by one, and reruns agree on how many of
+them are taken; an empty table gives no rows; other
 columns pass through ``mix_documents`` untouched, and clashing names with the
 working columns are kept apart by a prefix.
 """
@@ -73,19 +76,19 @@ def copy_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     """``doc_id, source, size, source_size, target, copies`` per document."""
     kept = [F.col(c).alias("_kept_" + c) for c in keep or []]
     sized = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(source).alias("source"),
-                        word_count(text).alias("size"), *kept)
+                        word_count(text).alias("size"), F.md5(text).alias("_text"), *kept)
     targets = source_targets(sized.select("source", "size")).withColumnRenamed("source", "_s")
     df = sized.join(targets, F.col("source").eqNullSafe(F.col("_s")), "inner").drop("_s")
     strata = F.greatest(F.lit(1), F.ceil(F.col("source_docs") / STRATUM)).cast("long")
-    df = df.withColumn("stratum", F.floor(unit_hash(F.lit(seed), F.col("doc_id")) * strata).cast("long"))
-    order = Window.partitionBy("source", "stratum").orderBy("size", "doc_id")
+    df = df.withColumn("stratum", F.floor(unit_hash(F.lit(seed), F.col("doc_id"), F.col("_text")) * strata).cast("long"))
+    order = Window.partitionBy("source", "stratum").orderBy("size", "doc_id", "_text")
     start = unit_hash(F.lit(seed), F.col("source"), F.col("stratum"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     df = df.withColumn("_rate", rate).withColumn("_u", start).withColumn("_i", F.row_number().over(order))
     part = F.col("_rate") - F.floor("_rate")
     extra = F.floor(F.col("_u") + F.col("_i") * part) - F.floor(F.col("_u") + (F.col("_i") - 1) * part)
     return (df.withColumn("copies", (F.floor("_rate") + extra).cast("int"))
-            .drop("stratum", "source_docs", "_rate", "_u", "_i"))
+            .drop("stratum", "source_docs", "_text", "_rate", "_u", "_i"))
 
 
 def mix_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",

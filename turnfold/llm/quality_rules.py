@@ -27,16 +27,14 @@ from .textops import text_slices
 from .textstats import BASE, COUNTS, RATIO_NAMES, count_texts, ratios
 
 SAMPLE_ROWS = 16_384
-TREES = 128
-PSI = 512
-DEPTH = 9
+TREES = 256
+PSI = 2048
+DEPTH = 11
 BINS = 2_000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 CLEAN_LOSS = 0.002  # share of labelled good documents that the threshold may cost
-RULES = ["symbol_share", "upper_share", "bang_share", "repeat_share", "same_next_share", "short_share", "mean_word",
-         "long_share"]
-_COLUMNS = [RATIO_NAMES.index(r) for r in RULES]
+RULES = RATIO_NAMES
 
 
 def _mean_path(n: np.ndarray | float) -> np.ndarray:
@@ -102,7 +100,7 @@ def anomaly(forest: dict, x: np.ndarray) -> np.ndarray:
 
 
 def rules(counts: dict[str, np.ndarray]) -> np.ndarray:
-    return ratios(counts)[:, _COLUMNS]
+    return ratios(counts)
 
 
 def rule_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

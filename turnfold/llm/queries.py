@@ -75,7 +75,7 @@ QUERIES = {f.__name__: f for f in (
 ORACLE: dict[str, str] = {
     "op9_mix_sources": """
 WITH sized AS (
-  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
+  SELECT doc_id, source, coalesce(md5(text), '<null>') AS body, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
   FROM documents),
 per AS (SELECT source, sum(size) AS source_size, count(*) AS n_docs FROM sized GROUP BY source),
 placed AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS place FROM per),
@@ -88,13 +88,13 @@ levels AS (SELECT *, (sum(source_size) OVER ()::DOUBLE
 final AS (SELECT *, arg_min(CASE WHEN level * weight <= cap THEN level END,
                             CASE WHEN level * weight <= cap THEN cap / weight END) OVER () AS last_level FROM levels),
 targets AS (SELECT source, source_size, n_docs, least(cap, coalesce(last_level * weight, cap)) AS target FROM final),
-dealt AS (SELECT s.doc_id, s.size, s.source, t.source_size, t.target,
+dealt AS (SELECT s.doc_id, s.size, s.body, s.source, t.source_size, t.target,
                  CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
-                 CAST(floor(('0x' || substr(md5('17|' || s.doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE
+                 CAST(floor(('0x' || substr(md5('17|' || s.doc_id || '|' || s.body), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE
                             * greatest(1, ceil(t.n_docs / 256.0))) AS BIGINT) AS stratum
           FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 drawn AS (SELECT *, ('0x' || substr(md5('17|' || coalesce(source, '<null>') || '|' || stratum), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u,
-                 row_number() OVER (PARTITION BY source, stratum ORDER BY size, doc_id) AS i, rate - floor(rate) AS part
+                 row_number() OVER (PARTITION BY source, stratum ORDER BY size, doc_id, body) AS i, rate - floor(rate) AS part
           FROM dealt),
 counted AS (SELECT *, CAST(floor(rate) + floor(u + i * part) - floor(u + (i - 1) * part) AS INTEGER) AS copies FROM drawn)
 SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(size * copies AS BIGINT) AS taken, CAST(copies AS INTEGER) AS copies
