@@ -53,3 +53,47 @@ def test_null_groups_are_groups(spark):
     rn = {(r.g, r.o): r.rn for r in OR.group_row_number(df, ["g"], ["o"], num_partitions=3).collect()}
     assert rn == {(None, 1): 1, (None, 2): 2, ("a", 1): 1, ("a", 2): 2}
     assert df.where(F.col("g").isNull()).count() == 2
+
+
+def test_line_numbers_count_blank_lines_and_splits(spark, tmp_path):
+    good = [json.dumps(r) for r in rows(range(400))]
+    lines = []
+    for i, x in enumerate(good):
+        lines += [x] + (["", "  \t "] if i % 7 == 0 else []) + (["{broken %d" % i] if i % 50 == 3 else [])
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.jsonl").write_text("\n".join(lines) + "\n")
+    (tmp_path / "d" / "b.jsonl").write_text("\r\n".join(["[1, 2", *lines[:40]]))
+    want = [("a.jsonl", n, x) for n, x in enumerate(lines, 1) if x.startswith("{broken")]
+    want += [("b.jsonl", 1, "[1, 2")] + [("b.jsonl", n + 1, x) for n, x in enumerate(lines[:40], 1) if x.startswith("{broken")]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (before, "3000"):  # the second cuts a file into many splits
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            ok, bad = LG.read_with_rejects(spark, str(tmp_path / "d"))
+            got = sorted((r["_file"].rsplit("/", 1)[1], r["line"], r["record"]) for r in bad.collect())
+            assert got == sorted(want)
+            assert ok.count() == 400 + sum(x.startswith('{"') for x in lines[:40])
+            ids = LG.with_position_id(spark.read.schema(ok.schema).json(str(tmp_path / "d" / "a.jsonl")))
+            plan = ids._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning" not in plan and "rangepartitioning" not in plan
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    with pytest.raises(LG.BadRecord, match="a.jsonl, line 7:"):
+        LG.read_strict(spark, str(tmp_path / "d"))
+    (tmp_path / "d" / "a.jsonl").write_text("\n".join(good))
+    (tmp_path / "d" / "b.jsonl").write_text("")
+    assert LG.read_strict(spark, str(tmp_path / "d")).count() == 400
+
+
+def test_positions_follow_file_order_over_splits(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    for f, lo in (("a", 0), ("b", 300), ("c", 450)):
+        hi = {"a": 300, "b": 450, "c": 500}[f]
+        (tmp_path / "d" / f"{f}.jsonl").write_text("\n".join(json.dumps({"v": i}) + ("\n" if i % 9 == 0 else "") for i in range(lo, hi)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
+        df = LG.with_position_id(spark.read.schema("v long").json(str(tmp_path / "d")))
+        assert sorted((r.battle_id, r.v) for r in df.collect()) == [(i, i) for i in range(500)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -876,16 +876,22 @@ def json_lines(df, line: Column, name: str) -> str:
     return path
 
 
-@register("malformed_record_report")
-def q_malformed(spark, sf_dir):
-    """A3 and A12 over real lines: signups come without the field, errors as
-    log lines that are no JSON."""
+def _event_lines(spark, sf_dir) -> tuple[DataFrame, T.StructType]:
+    """Lines of the events in order: signups come without the field, errors
+    as log lines that are no JSON, and each view is followed by a blank line."""
     k = F.get_json_object("props", "$.k").cast("long")
     line = (F.when(F.col("event_type") == "error", F.concat(F.lit("error in event "), F.col("event_id").cast("string")))
              .when(F.col("event_type") == "signup", F.to_json(F.struct("event_id")))
+             .when(F.col("event_type") == "view", F.concat(F.to_json(F.struct("event_id", k.alias("k"))), F.lit("\n")))
              .otherwise(F.to_json(F.struct("event_id", k.alias("k")))))
-    path = json_lines(events(spark, sf_dir), line, "event-lines")
-    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("k", T.LongType())])
+    ordered = events(spark, sf_dir).repartitionByRange("event_id").sortWithinPartitions("event_id")
+    return json_lines(ordered, line, "event-lines"), T.StructType([T.StructField("event_id", T.LongType()), T.StructField("k", T.LongType())])
+
+
+@register("malformed_record_report")
+def q_malformed(spark, sf_dir):
+    """A3 and A12 over real lines."""
+    path, schema = _event_lines(spark, sf_dir)
     good, bad = LG.read_with_rejects(spark, path, schema)
     _, lacking = LG.require_fields(good, ["k"], id_col="event_id")
     damaged = bad.select(F.regexp_extract("record", "([0-9]+)$", 1).cast("long").alias("event_id"),
@@ -893,6 +899,19 @@ def q_malformed(spark, sf_dir):
     return damaged.unionByName(lacking)
 
 
+@register("malformed_line_numbers")
+def q_malformed_lines(spark, sf_dir):
+    """A3: the line of each malformed record, counted through the files in
+    order (each file's lines follow those of the files before)."""
+    path, schema = _event_lines(spark, sf_dir)
+    _, bad = LG.read_with_rejects(spark, path, schema)
+    sizes = LG.numbered_lines(spark, path).groupBy("_file").agg(F.max("line").alias("lines"))
+    before = sizes.select("_file", F.coalesce(F.sum("lines").over(
+        Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))  # one row a file
+    return bad.join(F.broadcast(before), "_file").select(
+        F.regexp_extract("record", "([0-9]+)$", 1).cast("long").alias("event_id"), (F.col("before") + F.col("line")).alias("line"))
+
+
 @register("position_identity")
 def q_position_identity(spark, sf_dir):
     """A5 over lines without keys: files in order of the order key."""

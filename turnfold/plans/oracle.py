@@ -670,3 +670,9 @@ tot AS (SELECT name, SUM(s) AS S, SUM(n) AS N FROM per GROUP BY 1)
 SELECT per.name, ROUND(AVG(CASE WHEN tot.N > per.n THEN (tot.S - per.s) / (tot.N - per.n) ELSE gm.g END), 6) AS encoding,
        CAST(MAX(tot.N) AS BIGINT) AS n
 FROM per JOIN tot ON per.name = tot.name CROSS JOIN gm GROUP BY per.name"""
+
+ORACLE["malformed_line_numbers"] = """
+WITH placed AS (SELECT event_id, event_type, CAST(SUM(CASE WHEN event_type = 'view' THEN 2 ELSE 1 END) OVER (ORDER BY event_id) AS BIGINT) AS line
+                FROM events)
+SELECT event_id, line FROM placed WHERE event_type = 'error'
+"""
