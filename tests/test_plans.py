@@ -44,3 +44,11 @@ def test_sweep_has_no_row_by_grid_product(spark):
     text = Q["threshold_sweep"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     # the only non-equi join is grid (100 rows) x buckets (<= 101 rows), both broadcast-sized
     assert "CartesianProduct" not in text
+
+
+def test_border_carry_moves_no_record_twice(spark):
+    """The written ranges are read back and only joined with one row a
+    partition; the grouped result is the one exchange left."""
+    for name, exchanges in (("roc_points", 0), ("pr_points", 0), ("row_identity", 0), ("damage_total", 1)):
+        plan = _plan(spark, name)
+        assert len(re.findall(r"(?<!Broadcast)Exchange (?:hash|range|Single)", plan)) <= exchanges, name

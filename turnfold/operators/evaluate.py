@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ordering import running_sums, with_row_index
+from ..functions.ordering import ordered_pass, running_sums
 
 HIST_BINS = 50
 SWEEP_POINTS = 100
@@ -69,18 +69,17 @@ def roc_points(df: DataFrame, y: str, p: str, drop_intermediate: bool = True) ->
     """``(point, threshold, fpr, tpr)`` with a leading (0, 0) point at an
     infinite threshold; collinear inner points are dropped as the
     reference estimator does (second differences of both counts zero)."""
-    cum, P, N = cumulative_curve(df, y, p)
-    idx = with_row_index(cum, [F.col("score").desc()], "i")
+    st = score_table(df, y, p)
+    # scores rising: the row before is the next point of the curve, and the
+    # sums up to a row are what lies behind it
+    up = ordered_pass(st, ["score"], sums=["pos", "neg"], lags=["pos", "neg"])
+    ends = up.agg(F.max("pos_cum"), F.max("neg_cum"), F.max("score")).first()
+    P, N = float(ends[0] or 0), float(ends[1] or 0)
+    idx = up.select("score", "pos", "neg", (F.lit(int(P)) - F.col("pos_cum") + F.col("pos")).alias("tps"),
+                    (F.lit(int(N)) - F.col("neg_cum") + F.col("neg")).alias("fps"), "prev_pos", "prev_neg")
     if drop_intermediate:
-        prev = idx.select((F.col("i") + 1).alias("i"), F.col("tps").alias("_ptp"),
-                          F.col("fps").alias("_pfp"))
-        nxt = idx.select((F.col("i") - 1).alias("i"), F.col("tps").alias("_ntp"),
-                         F.col("fps").alias("_nfp"))
-        k = idx.join(prev, "i", "left").join(nxt, "i", "left")
-        keep = (F.col("_ptp").isNull() | F.col("_ntp").isNull()
-                | ((F.col("_pfp") - 2 * F.col("fps") + F.col("_nfp")) != 0)
-                | ((F.col("_ptp") - 2 * F.col("tps") + F.col("_ntp")) != 0))
-        idx = k.where(keep)
+        idx = idx.where(F.col("prev_pos").isNull() | (F.col("score") == F.lit(ends[2]))
+                        | (F.col("prev_pos") != F.col("pos")) | (F.col("prev_neg") != F.col("neg")))
     pts = idx.select(F.col("score").alias("threshold"),
                      (F.col("fps") / F.lit(N)).alias("fpr") if N else F.lit(float("nan")).alias("fpr"),
                      (F.col("tps") / F.lit(P)).alias("tpr") if P else F.lit(float("nan")).alias("tpr"))

@@ -212,10 +212,21 @@ def _move_struct(m: Column) -> Column:
                     m["priority"].alias("priority"))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _first_use(items: Column, key) -> Column:
-    """Keep the first element for every key value (array order = turn order)."""
-    keys = F.transform(items, key)
-    return F.filter(items, lambda x, j: F.array_position(keys, key(x)) == j + 1)
+    """Keep the first element for every key value (array order = turn order;
+    elements without a key go).  Keys are sorted with their places, so the
+    work grows as n log n with the turns of a record."""
+    placed = F.array_sort(F.filter(F.transform(items, lambda x, j: F.struct(key(x).alias("k"), j.alias("j"))),
+                                   lambda x: x["k"].isNotNull()))
+    first = _let(placed, lambda s: F.filter(s, lambda x, i: (i == 0) | ~F.get(s, i - 1)["k"].eqNullSafe(x["k"])))
+    places = F.array_sort(F.transform(first, lambda x: x["j"]))
+    return _let(F.struct(items.alias("items"), places.alias("places")),
+                lambda b: F.transform(b["places"], lambda j: F.get(b["items"], j)))
 
 
 def fold_match_logs(df: DataFrame, is_train: bool = True, semantics: str = "observed",
