@@ -175,6 +175,18 @@ class RandomCutForest:
         return out
 
 
+def vote(df: DataFrame, scores: Sequence[str | Column], threshold: float, digits: int | None = None) -> DataFrame:
+    """H6, H8: ``probability``, the mean of the members' scores, and
+    ``prediction`` from it (rounded to ``digits`` before the bound, if given)."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in scores]
+    mean = cols[0]
+    for c in cols[1:]:
+        mean = mean + c
+    df = df.withColumn("probability", mean / F.lit(float(len(cols))))
+    p = F.col("probability") if digits is None else F.round("probability", digits)
+    return df.withColumn("prediction", predict_at(p, threshold))
+
+
 @dataclass
 class SoftVoteModel:
     members: list          # (name, fitted model)
@@ -198,12 +210,7 @@ class SoftVoteModel:
                          .drop(f"{name}_probability", f"{name}_raw", f"{name}_prediction")
                 p = F.col(self.member_p1(name))
             cols.append(p)
-        mean = cols[0]
-        for c in cols[1:]:
-            mean = mean + c
-        mean = mean / F.lit(float(len(cols)))
-        return out.withColumn("probability", mean) \
-                  .withColumn("prediction", predict_at(F.col("probability"), self.threshold))
+        return vote(out, cols, self.threshold)
 
 
 def fit_soft_vote(train: DataFrame, estimators: Sequence[tuple[str, object]],
