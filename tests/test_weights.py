@@ -82,3 +82,11 @@ def test_attach_weights_default(spark):
     w = spark.createDataFrame([("a", 0.5), ("b", 2.0)], "key string, weight double")
     out = {r.id: r.sample_weight for r in WT.attach_weights(members, w, ["name"]).collect()}
     assert out == {1: 0.5, 2: 2.0, 3: 1.0}
+
+
+def test_doubles_are_spelled_as_python_does(spark):
+    values = [0.0, -0.0, 1.0, -1.5, 0.001, 0.0001, 0.00012, -0.00099, 1e-5, 1.5e-7, 12345678.0, -98765432.25, 1e7, 1e15, 123456789012345.6,
+              1e16, -1.25e17, 1e22, 1e100, 1.5e-300, 9999999.0, 0.1, 100.0, float("nan"), float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r.s for r in df.select(WT.py_str(F.col("v"), df.schema["v"].dataType).alias("s")).collect()]
+    assert got == [str(v) for v in values]

@@ -18,6 +18,24 @@ WEIGHT_METHODS = ("inverse_frequency", "sqrt_inverse", "log_inverse", "min_max",
 RENORMALISED = ("inverse_frequency", "sqrt_inverse", "log_inverse")
 
 
+def py_float(col: Column) -> Column:
+    """A double in Python spelling: plain from 1e-4 up to below 1e16, where
+    Spark's cast changes to an exponent at 1e-3 and 1e7; then ``1e+16``."""
+    s = col.cast("string")
+    split = F.split(F.ltrim(s, F.lit("-")), "E")
+    mantissa, e = split[0], F.get(split, F.lit(1)).cast("int")
+    short = F.regexp_replace(mantissa, r"\.0$", "")
+    digits = F.replace(short, F.lit("."), F.lit(""))
+    padded = F.rpad(digits, F.greatest(F.length(digits), e + 1), F.lit("0"))
+    fraction = F.substr(padded, e + 2)
+    large = F.concat(F.substr(padded, F.lit(1), e + 1), F.lit("."), F.when(fraction == "", "0").otherwise(fraction))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
+    power = F.concat(short, F.when(e < 0, "e-").otherwise("e+"), F.lpad(F.abs(e).cast("string"), F.greatest(F.length(F.abs(e).cast("string")), F.lit(2)), F.lit("0")))
+    spelled = F.when((e >= 0) & (e < 16), large).when((e < 0) & (e >= -4), small).otherwise(power)
+    return (F.when(F.isnan(col), "nan").when(col == float("inf"), "inf").when(col == -float("inf"), "-inf")
+            .when(s.contains("E"), F.concat(F.when(s.startswith("-"), "-").otherwise(""), spelled)).otherwise(s))
+
+
 def py_str(col: Column, dtype: T.DataType) -> Column:
     """``str(value)`` as the original renders it, for the types a member
     record holds: strings as is, numbers and booleans in Python spelling,
@@ -27,7 +45,7 @@ def py_str(col: Column, dtype: T.DataType) -> Column:
     elif isinstance(dtype, T.BooleanType):
         s = F.when(col, F.lit("True")).otherwise(F.lit("False"))
     elif isinstance(dtype, (T.DoubleType, T.FloatType)):
-        s = col.cast("string")
+        s = py_float(col)
     elif isinstance(dtype, T.ArrayType):
         s = F.concat(F.lit("["),
                      F.array_join(F.transform(col, lambda x: F.concat(F.lit("'"), x.cast("string"),
