@@ -12,8 +12,9 @@ flagged.
 Counts are summed on the executors for all learning rows; what reaches the
 driver is languages x ``BUCKETS`` numbers.  Defined results: null texts and
 texts without letters are ``und`` with score 0; ties go to the language that
-sorts first; repeated rows get equal predictions; without learning rows all
-are ``und``; an empty table gives no rows.
+sorts first; repeated rows get equal predictions; a row without an id is in no
+fold (``held_out`` null) and is learnt from; without learning rows all are
+``und``; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -9,8 +9,9 @@ imbalance merge, the fullest windows of one onto the emptiest of the other,
 until one is left.  If its fullest window exceeds the capacity, k rises.
 
 Only piece descriptions are shuffled, never ids.  Defined results: a null text
-is an empty document, one end id; repeated rows are packed each; an empty
-table gives no rows; other columns are not read.
+is an empty document, one end id; repeated rows, ids that repeat and null ids
+are packed each as a document of its own; an empty table gives no rows; other
+columns are not read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ rows (``SAMPLE_ROWS``) and scored over whole texts on the executors.
 Defined results: a null text counts as empty and gets the score of a text
 without words; repeated rows get equal scores; an empty table gives no rows;
 without labelled rows of both classes every score is the share of label 1, or
-0.5 without any.  Labels, lang, source and key never enter a score.
+0.5 without any; a row without an id is scored, is in no fold (``held_out``
+null) and never learnt from.  Labels, lang, source and key never enter a score.
 """
 
 from __future__ import annotations
