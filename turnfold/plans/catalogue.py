@@ -1032,6 +1032,15 @@ def q_tuned(spark, sf_dir):
     return out.select("vec_id", p.alias("probability"), EV.predict_at(p, 0.485).alias("prediction"))
 
 
+@register("booster_trials")
+def q_booster_trials(spark, sf_dir):
+    """Depth and rate of the regularised booster by successive halving."""
+    train, valid = _train_part(embedding_frame(spark, sf_dir), "vec_id")
+    boosters = [HT.regularised_booster(max_depth=d, eta=e) for d in (2, 4) for e in (0.03, 0.1)]
+    trials, _ = HT.halving(train, valid, boosters, first=4, rungs=3)
+    return trials
+
+
 @register("weighted_scores")
 def q_weighted(spark, sf_dir):
     e = embedding_frame(spark, sf_dir)
