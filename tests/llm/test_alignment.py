@@ -86,6 +86,26 @@ def test_odd_texts(spark, odd_rows, no_rows, monkeypatch):
     assert alignment.align_documents(no_rows).count() == 0
 
 
+def test_a_blank_at_the_end_is_a_token(spark):
+    texts = ["a ", "two words ", " ", "é ", "x " * 700, "line\n ", "a  ", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = collections.Counter((i, *r) for i, r in enumerate(brute(texts)))
+    got = collections.Counter((r["doc_id"], *[r[c] for c in COLUMNS]) for r in alignment.align_documents(docs).collect())
+    assert got == want
+    assert all(r[4] > 0 for r in want if r[0] < 7)
+
+
+def test_counts_over_many_blocks(spark, monkeypatch):
+    """Blocks of one text each: pairs are counted over all of them."""
+    monkeypatch.setattr(alignment, "slices_by", lambda sizes: ((i, i + 1) for i in range(len(sizes))))
+    monkeypatch.setattr(alignment, "SLICES", 1)
+    texts = ["the cat and the dog ", "the dog", "the cat", "", None, "the dog ran"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = collections.Counter((i, *r) for i, r in enumerate(brute(texts)))
+    got = collections.Counter((r["doc_id"], *[r[c] for c in COLUMNS]) for r in alignment.align_documents(docs).collect())
+    assert got == want
+
+
 def test_slices_hold_every_text_once():
     texts = ["abc", None, "x" * 50, "", "yy"]
     cut = list(alignment.slices_of(texts, 10))

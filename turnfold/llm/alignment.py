@@ -7,7 +7,7 @@ A and a B token that end at the same byte of a document close a group.
 Work inside a task is Arrow's: both sides are list columns, flattened with
 their parent indices; token sizes become ends by a cumulative sum less the
 sum before the document; an Acero hash join on (document, end) gives the
-links; ``Table.group_by`` counts the id pairs of a block of documents.  Spark
+links, whose id pairs are counted by block of documents as they come.  Spark
 adds the blocks' counts up, finds the highest count of each B id, and brings
 the pairs that a block holds back to the block, where they are looked up.  So
 only distinct pairs of a block travel for the counts, never single links.
@@ -40,7 +40,9 @@ PIECES = "piece_bpe_32k.model"
 SLICE = 1 << 19  # characters of text that a task aligns at once; a longer text is a slice of its own
 SLICES = 16      # of a task that share a block, whose counts are kept apart
 SHIFT = 40  # bits of a document-end key that hold the byte
-ROW = ("block long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<long>")
+ROW = ("block long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<long>, "
+       "held array<long>, counts array<long>")
+COLUMNS = ["block", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "pairs", "held", "counts"]
 _OPEN: dict[tuple[str, str], tuple] = {}
 
 
@@ -109,7 +111,8 @@ class ByteLevel(Side):
 
 class Pieces(Side):
     """A sentencepiece model with byte fallback.  It puts the space in front
-    itself, so a piece goes in without the one it starts with."""
+    itself, so a piece goes in without the one it starts with; of an empty
+    text it makes nothing, so a lone blank has its ids from a word before it."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -118,11 +121,14 @@ class Pieces(Side):
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         if any("\u2581" in p.lstrip("\u2581") for p in names):
             raise ValueError("the model joins a character and the space after it")
+        word, longer = self.model.encode(["x", "x "])
+        self.blank = longer[len(word):]  # of a blank at the end of a text
         super().__init__([bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("\u2581", " ").encode()
                           for i, p in enumerate(names)], fine=False)
 
     def ids(self, pieces: list[str]) -> list[list[int]]:
-        return self.model.encode([p[1:] for p in pieces], num_threads=1)
+        got = self.model.encode([p[1:] for p in pieces], num_threads=1)
+        return [ids if len(p) > 1 else self.blank for p, ids in zip(pieces, got, strict=True)]
 
 
 def sides(path_a: str, path_b: str) -> tuple[Side, Side]:
@@ -216,52 +222,66 @@ def align(texts: list[str | None], side_a: Side, side_b: Side) -> dict:
 
 
 def slices_of(texts: list[str | None], most: int = SLICE) -> Iterator[tuple[int, int]]:
+    return slices_by([len(t or "") for t in texts], most)
+
+
+def slices_by(sizes: list[int], most: int = SLICE) -> Iterator[tuple[int, int]]:
     lo = 0
-    while lo < len(texts):
+    while lo < len(sizes):
         hi, chars = lo, 0
-        while hi < len(texts) and (hi == lo or chars + len(texts[hi] or "") <= most):
-            chars += len(texts[hi] or "")
+        while hi < len(sizes) and (hi == lo or chars + sizes[hi] <= most):
+            chars += sizes[hi]
             hi += 1
         yield lo, hi
         lo = hi
 
 
+def counted_row(block: int, counts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """A block's distinct id pairs and how often its links hold them."""
+    held, at = np.unique(np.concatenate([c[0] for c in counts]), return_inverse=True)
+    n = np.zeros(len(held), np.int64)
+    np.add.at(n, at, np.concatenate([c[1] for c in counts]))
+    offsets = np.array([0, len(held)], np.int32)
+    none = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()))]
+    return pa.RecordBatch.from_arrays([pa.array([block]), *none, *[pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (held, n)]], COLUMNS)
+
+
 def aligned(docs: DataFrame, key: str = "doc_id", text: str = "text", path_a: str | None = None,
             path_b: str | None = None) -> DataFrame:
-    """``block, doc_id, n_a, n_b, n_groups, groups_sha256, pairs``; a pair is
-    A id times the number of B ids plus B id, one for each link, in order."""
+    """A row a document: ``block, doc_id, n_a, n_b, n_groups, groups_sha256,
+    pairs``; a pair is A id times the number of B ids plus B id, one for each
+    link, in order.  And a row a block: ``block, held, counts``, its distinct
+    pairs and their links, the other columns null."""
     path_a, path_b = path_a or tokenizer_path(TOKENIZER), path_b or tokenizer_path(PIECES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sides(path_a, path_b)
-        task, made = TaskContext.get().partitionId(), 0
+        task, made, counts = TaskContext.get().partitionId(), 0, []
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for lo, hi in slices_of(texts):
-                got = align(texts[lo:hi], *own)
+            for lo, hi in slices_by(pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist()):
+                block = (task << 32) + made // SLICES
+                got = align(batch.column(1).slice(lo, hi - lo).to_pylist(), *own)
                 digest = [hashlib.sha256(x).hexdigest() if x else "" for x in got["spelled"]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(hi - lo, (task << 32) + made // SLICES)), batch.column(0).slice(lo, hi - lo)]
+                    [pa.array(np.full(hi - lo, block)), batch.column(0).slice(lo, hi - lo)]
                     + [pa.array(got[c].astype(np.int64)) for c in ("n_a", "n_b", "n_groups")]
-                    + [pa.array(digest, pa.string()), got["pairs"]],
-                    ["block", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "pairs"])
+                    + [pa.array(digest, pa.string()), got["pairs"]] + 2 * [pa.nulls(hi - lo, pa.list_(pa.int64()))], COLUMNS)
+                counts.append(np.unique(np.asarray(got["pairs"].values), return_counts=True))
                 made += 1
+                if made % SLICES == 0:
+                    yield counted_row(block, counts)
+                    counts = []
             pa.default_memory_pool().release_unused()
+        if counts:
+            yield counted_row(block, counts)
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, ROW)
 
 
 def block_counts(rows: DataFrame) -> DataFrame:
-    """``block, pair, n``: how often a block's links hold an id pair."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            flat = pa.table({"block": pc.take(batch.column(0), pc.list_parent_indices(lists)), "pair": pc.list_flatten(lists)})
-            counted = flat.group_by(["block", "pair"], use_threads=False).aggregate([("pair", "count")])
-            for part in counted.select(["block", "pair", "pair_count"]).rename_columns(["block", "pair", "n"]).to_batches():
-                yield part
-
-    return rows.select("block", "pairs").mapInArrow(run, "block long, pair long, n long")
+    """``of, pair, n``: how often the links of a block hold an id pair."""
+    return (rows.where("counts is not null").select("block", F.explode(F.arrays_zip("held", "counts")).alias("x"))
+            .select(F.col("block").alias("of"), F.col("x.held").alias("pair"), F.col("x.counts").alias("n")))
 
 
 def pair_counts(counted: DataFrame, n_b: int) -> DataFrame:
@@ -273,7 +293,7 @@ def pair_counts(counted: DataFrame, n_b: int) -> DataFrame:
 
 
 def look_up(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """``rows`` with ``n_links, n_best, count_sum``; ``known`` holds ``block,
+    """``rows`` with ``n_links, n_best, count_sum``; ``known`` holds ``of,
     pair, n, best`` for every pair of a block."""
     out = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
@@ -293,7 +313,7 @@ def look_up(rows: DataFrame, known: DataFrame) -> DataFrame:
                          "n_links": pa.array(sizes.astype(np.int64)), "n_best": added("best"), "count_sum": added("n"),
                          "groups_sha256": docs["groups_sha256"]})
 
-    return rows.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, out)
+    return rows.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(run, out)
 
 
 def align_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", path_a: str | None = None,
@@ -302,6 +322,6 @@ def align_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", pa
     groups_sha256`` of every row."""
     rows = written(aligned(docs, key, text, path_a, path_b), "aligned")
     n_b = len(Pieces(path_b or tokenizer_path(PIECES)).bytes)
-    counted = written(block_counts(rows).groupBy("block", "pair").agg(F.sum("n").alias("n")), "block-pairs")
-    known = counted.select("block", "pair").join(pair_counts(counted, n_b), "pair")
-    return look_up(rows, known)
+    counted = block_counts(rows)
+    known = counted.select("of", "pair").join(pair_counts(counted, n_b), "pair")
+    return look_up(rows.where("counts is null").drop("held", "counts"), known)
