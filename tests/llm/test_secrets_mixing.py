@@ -244,3 +244,20 @@ def test_mixing_of_odd_rows(spark, odd_rows, no_rows):
     copies = sum(r["copies"] for r in mixing.copy_counts(odd_rows).collect())
     assert mixed.count() == copies
     assert mixing.mix_documents(no_rows).count() == mixing.copy_counts(no_rows).count() == 0
+
+
+def test_mixing_moves_each_text_once(spark, tmp_path):
+    """Also where the documents are too many to be broadcast: texts go to
+    their stratum, and not to their source before."""
+    rng = random.Random(5)
+    rows = [(i, "".join(rng.choices(string.ascii_letters + " ", k=400)), "abc"[i % 3]) for i in range(2000)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "d"))
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        mixed = mixing.mix_documents(spark.read.parquet(str(tmp_path / "d")))
+        plan = mixed._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+        assert {r["source"] for r in mixed.select("source").distinct().collect()} == {"a", "b", "c"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
