@@ -90,3 +90,21 @@ def test_doubles_are_spelled_as_python_does(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     got = [r.s for r in df.select(WT.py_str(F.col("v"), df.schema["v"].dataType).alias("s")).collect()]
     assert got == [str(v) for v in values]
+
+
+def test_target_encoding_tasks_grow_with_the_rows(spark, monkeypatch):
+    """What a task holds stays the same however few shuffle partitions the
+    session asks for, and a frequent name is dealt to several tasks."""
+    monkeypatch.setattr(WT, "TASK_ROWS", 100)
+    df = spark.range(6000).select(F.when(F.col("id") < 3000, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("name"),
+                                  (F.col("id") % 3 == 0).alias("y"), (F.col("id") % 5).alias("fold"))
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        out = WT.kfold_target_encoding(df, "name", F.col("y"), F.col("fold"))
+        assert out.rdd.getNumPartitions() == 60
+        got = {r["name"]: (r["encoding"], r["n"]) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    assert len(got) == 3001 and got["hot"][1] == 3000 and abs(got["hot"][0] - 1 / 3) < 1e-3
+    assert got["3001"] == (pytest.approx(1 / 3), 1)
