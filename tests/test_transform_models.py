@@ -1,5 +1,7 @@
 """Exact scaler, PCA tables, split, learners and the vote."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -134,3 +136,26 @@ def test_drop_constant_keeps_pca(spark):
     r1 = np.array([r.ratio for r in TR.variance_table(spark, TR.fit_pca(full, "z", 3)).collect()])
     r2 = np.array([r.ratio for r in TR.variance_table(spark, TR.fit_pca(red, "z", 3)).collect()])
     assert r1 == pytest.approx(r2)
+
+
+def test_a_forest_in_parts_grows_all_trees_side_by_side(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    X = rng.normal(size=(120, 4))
+    df = _matrix(spark, X, (X[:, 0] > 0).astype(float))
+    waiting = threading.Barrier(3, timeout=60)  # each fit waits until three have begun
+    fit = MD.RandomForestClassifier._fit
+
+    def met(self, data):
+        waiting.wait()
+        return fit(self, data)
+
+    monkeypatch.setattr(MD.RandomForestClassifier, "_fit", met)
+    m = MD.fit_forest_parts(df, num_trees=7, parts=3, max_depth=4, min_instances=2)
+    assert [x.getNumTrees for x in m.models] == [3, 2, 2]
+    voices = [t.transform(df).select("id", vector_to_array("rf_probability")[1].alias("p")).toPandas().set_index("id").p
+              for x in m.models for t in x.trees]
+    got = m.transform(df)
+    assert got.columns == [*df.columns, "rf_p1"]
+    got = got.toPandas().set_index("id").rf_p1
+    assert np.allclose(got, sum(voices) / 7)
+    assert len({t.toDebugString for x in m.models for t in x.trees}) == 7
