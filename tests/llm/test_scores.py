@@ -3,6 +3,7 @@ and held-out accuracy."""
 
 import collections
 import math
+import random
 import re
 import zlib
 
@@ -231,6 +232,47 @@ def test_model_probabilities_sum_to_one():
     assert (10 ** model["step"]).sum(axis=1) == pytest.approx(1.0)
 
 
+def test_rare_words_are_clustered_by_their_neighbours(spark):
+    """1 400 words outside the frequent units, all with one ending: half stand
+    between red and wool, half between iron and ore, as 20 frequent words each do."""
+    rng = random.Random(5)
+    frequent = [f"w{i:03d}x" for i in range(700)] * 40
+    kinds = [[f"{place}{i}end" for i in range(700)] for place in ("p", "q")]
+    often = [[f"{place}often{i}" for i in range(20)] for place in ("p", "q")]
+    pair = [lambda w: f"red {w} wool", lambda w: f"iron {w} ore"]
+    rng.shuffle(frequent)
+    rows, key = [(None, " ".join(frequent))], 0
+    while len(rows) < 400:
+        key += 1
+        if remainder(key, 10):
+            rows.append((key, " ".join(pair[key % 2](w) for w in rng.sample(kinds[key % 2], 40) + rng.choices(often[key % 2], k=40))))
+    held = [k for k in range(1, 2000) if not remainder(k, 10)][:8]
+    right = [(k, " ".join(pair[i % 2](w) for w in kinds[i % 2][i::70])) for i, k in enumerate(held[:4])]
+    wrong = [(k, " ".join(pair[1 - i % 2](w) for w in kinds[i % 2][i::70])) for i, k in enumerate(held[4:])]
+    got = {r["doc_id"]: r for r in brown.score_documents(spark.createDataFrame(rows + right + wrong, "doc_id long, text string")).collect()}
+    assert all(got[k]["held_out"] and got[k]["n_known"] == got[k]["n_tokens"] for k in held)
+    for a, b in zip(right, wrong, strict=True):
+        assert got[a[0]]["score"] > got[b[0]]["score"] + 5.0
+
+
+def test_class_gains_follow_the_likelihood():
+    rng = np.random.default_rng(2)
+    size = brown.CLASSES + 1
+    m = rng.integers(500, 5000, (size, size)).astype(float)
+    before, after = (rng.poisson(0.2, (5, size)).astype(float) for _ in range(2))
+    f = lambda x: (x * np.log(x)).sum()
+    got = brown.class_gains(m, before, after)
+    for w in range(5):
+        want = []
+        for c in range(brown.CLASSES):
+            more = m.copy()
+            more[c] += after[w]
+            more[:, c] += before[w]
+            want.append(f(more) - f(more.sum(axis=0)) - f(more.sum(axis=1)))
+        want = np.array(want)
+        assert got[w] - got[w].mean() == pytest.approx(want - want.mean(), abs=0.05)
+
+
 def test_word_hashes_tell_words_apart():
     import pyarrow as pa
 
