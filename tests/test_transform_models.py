@@ -159,3 +159,19 @@ def test_a_forest_in_parts_grows_all_trees_side_by_side(spark, monkeypatch):
     got = got.toPandas().set_index("id").rf_p1
     assert np.allclose(got, sum(voices) / 7)
     assert len({t.toDebugString for x in m.models for t in x.trees}) == 7
+
+
+def test_forest_parts_leave_the_driver_when_trees_are_large(spark, monkeypatch):
+    """Beyond ``HELD_NODES`` parts are saved as they are grown, few at a time; they vote like the held ones."""
+    from pyspark.ml.classification import RandomForestClassificationModel
+    from pyspark.ml.linalg import Vectors
+    rows = [(i % 150, float(i % 7 < 3), Vectors.dense([float(i % 7), float(i % 11), float(i % 5)])) for i in range(200)]
+    df = spark.createDataFrame(rows, ["id", "label", "features"])
+    monkeypatch.setattr(MD, "HELD_NODES", 70)  # two trees of at most 31 nodes
+    m = MD.fit_forest_parts(df, num_trees=5, parts=12, max_depth=4, min_instances=2)
+    assert all(isinstance(p, str) for p in m.models) and sum(m.trees) == 5 and m.at_once * max(m.trees) * 32 <= 70
+    got = sorted((r["id"], tuple(r["features"]), r["rf_p1"]) for r in m.transform(df).collect())
+    held = MD.ForestPartsModel([RandomForestClassificationModel.load(p) for p in m.models])
+    want = sorted((r["id"], tuple(r["features"]), r["rf_p1"]) for r in held.transform(df).collect())
+    assert len(got) == 200 and [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want])
